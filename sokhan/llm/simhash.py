@@ -212,11 +212,13 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def classes(prints: DataFrame, radius: int) -> DataFrame:
-    """fp and component_id of every distinct fingerprint of (doc_id, fp)."""
+def classes(prints: DataFrame, radius: int, root: bool = False) -> DataFrame:
+    """fp and component_id of every distinct fingerprint of (doc_id, fp); or fp and the class's least fp."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     reached = components(links(nodes.select("fp"), radius))
     roots = nodes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")).checkpoint()
+    if root:
+        return roots.select("fp", "root")
     named = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return roots.join(named, "root").select("fp", "component_id")
 
@@ -232,3 +234,27 @@ def op10_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def keep_one(df: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """All columns of one row of each class: that of the smallest id (nulls first), then text hash."""
+    prepare(df.sparkSession)
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    thin = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = with_fingerprint(thin, shingle, seed).checkpoint()
+    named = prints.join(classes(prints.select("doc_id", "fp"), radius, root=True), "fp")
+    chosen = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
+    rows = df.withColumn("_text_hash", text_hash)
+    met = rows.join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
+    return met.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+
+
+def with_fingerprint(thin: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """doc_id, text_hash and fp of rows (doc_id, text)."""
+    hashed = thin.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+    def run(batch: pa.RecordBatch) -> dict[str, list]:
+        prints = [fingerprint(shingle_hashes(t, shingle, seed)) for t in utf8(batch.column("text"))]
+        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "fp": prints}
+
+    return by_batch(hashed, run, "doc_id long, text_hash long, fp long", pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())]))
