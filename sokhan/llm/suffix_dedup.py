@@ -25,7 +25,7 @@ keys, so
 
 Steps 1, 3 and 5 read one exchange of the texts; nothing depends on the machine
 that an earlier step ran on. A cell or bucket holds a bounded share of the input
-(four for each shuffle partition). Hashes only deal windows out; what is removed
+(two for each shuffle partition). Hashes only deal windows out; what is removed
 is decided on bytes.
 
 Null texts are empty. Of rows with equal ids none is earlier than the other at
@@ -288,7 +288,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, many: int = MANY, id_col
         raise ValueError(f"a window has at least {GRAM + 8} bytes")
     spark = df.sparkSession
     prepare(spark)
-    cells = buckets = 4 * partitions(spark)
+    cells = buckets = 2 * partitions(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc_id = F.col(id_col).cast("long")
     docs = df.select(F.pmod(F.xxhash64(doc_id), F.lit(cells)).cast("int").alias("cell"), F.xxhash64(doc_id, text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
