@@ -18,6 +18,8 @@ result. Null ids are kept as an id of their own. Empty tables give no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,29 +53,26 @@ def parts(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.trim(text)), " "), "")
 
 
-def windows(tokens: Column, raw: Column, size: Column) -> Column:
-    """(window, words) of each window of a size: its hash, and the words if it has slots, else null."""
-    n = F.size(tokens)
-    places = F.sequence(F.lit(1), n - size + 1)
-    no_words = F.lit(None).cast("array<string>").alias("words")
-    plain = F.transform(places, lambda i: F.struct(F.xxhash64(F.slice(tokens, i, size)).alias("window"), no_words))
-    slotted = F.transform(places, lambda i: F.struct(F.xxhash64(F.slice(tokens, i, size)).alias("window"), F.when(has_slots(F.slice(tokens, i, size)), F.slice(raw, i, size)).alias("words")))
-    return F.when((n < size) | (size <= 0), F.array().cast("array<struct<window:bigint,words:array<string>>>")).when(has_slots(tokens), slotted).otherwise(plain)
-
+def windows(df: DataFrame, size: int) -> DataFrame:
+    """Each window of a size of rows with words w and template t: at, window (its hash), w0, w1 ...
 
-def has_slots(tokens: Column) -> Column:
-    return F.arrays_overlap(tokens, F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT)))
+    Shifted copies of the words are zipped and unrolled, so that hashing a window
+    and probing the join stay in generated code.
+    """
+    n = F.size("t") - size + 1
+    shifted = [F.slice(c, F.lit(i + 1), n).alias(f"{c}{i}") for c in ("t", "w") for i in range(size)]
+    rest = [c for c in df.columns if c not in ("t", "w")]
+    each = df.filter(F.size("t") >= size).select(*rest, F.inline(F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *shifted)))
+    return each.withColumn("window", F.xxhash64(*(f"t{i}" for i in range(size))))
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     """item_id, n_windows, size, item_at, window, item_words, item_template for each window of each item."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(text).alias("w"), template(text).alias("t"))
-    items = items.withColumn("size", F.least(F.lit(window), F.size("t")).cast("int"))
-    items = items.withColumn("h", windows(F.col("t"), F.col("w"), F.col("size")))
-    out = items.select("item_id", "size", F.size("h").alias("n_windows"), "w", "t", F.posexplode("h.window").alias("item_at", "window"))
-    at = F.col("item_at") + 1
-    return out.select("item_id", "n_windows", "size", "item_at", "window", F.slice("w", at, F.col("size")).alias("item_words"), F.slice("t", at, F.col("size")).alias("item_template"))
+    items = items.withColumn("size", F.least(F.lit(window), F.size("t"))).withColumn("n_windows", F.size("t") - F.col("size") + 1)
+    sized = [windows(items.filter(F.col("size") == k), k).select("item_id", "n_windows", "size", F.col("at").alias("item_at"), "window", F.array(*(f"w{i}" for i in range(k))).alias("item_words"), F.array(*(f"t{i}" for i in range(k))).alias("item_template")) for k in range(1, window + 1)]
+    return reduce(DataFrame.unionByName, sized)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
@@ -88,15 +87,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), template(F.col("text")).alias("t"))
     found = None
     for size in sizes:
-        # Words leave the row only for windows with slots; others' words are the item's.
-        each = rows.select("doc_id", "text_hash", F.posexplode(windows(F.col("t"), F.col("w"), F.lit(size))).alias("doc_at", "at"))
-        each = each.select("doc_id", "text_hash", "doc_at", "at.window", F.col("at.words").alias("doc_words"))
+        each = windows(rows, size).withColumnRenamed("at", "doc_at")
         mine = items.filter(F.col("size") == size)
         met = each.join(F.broadcast(mine) if bounded else mine, "window")
+        met = met.select("doc_id", "text_hash", "item_id", "n_windows", "item_at", "doc_at", "item_template", "item_words", F.array(*(f"w{i}" for i in range(size))).alias("doc_words"))
         found = met if found is None else found.unionByName(met)
     if found is None:
         return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows int, n_matched int, coverage double, n_slots int, same_values boolean")
-    slots = F.filter(F.arrays_zip(F.col("item_template").alias("type"), F.col("item_words").alias("item"), F.coalesce("doc_words", "item_words").alias("doc")), lambda x: x["type"].isin(NUMBER, NAME, UNIT))
+    slots = F.filter(F.arrays_zip(F.col("item_template").alias("type"), F.col("item_words").alias("item"), F.col("doc_words").alias("doc")), lambda x: x["type"].isin(NUMBER, NAME, UNIT))
     found = found.select("doc_id", "text_hash", "item_id", "n_windows", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), slots.alias("slots"))
     # One alignment has a row for each window of its item at most.
     aligned = found.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
