@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyarrow import fs
@@ -41,6 +42,8 @@ from sokhan.llm.common import LOWER, id_and_text, partitions, prepare, shared_fo
 MAGIC = b"SKHNSST1"
 FOOTER = struct.Struct("<QQQQQQ8s")
 RESTART, BLOCK, FILE = 16, 64 << 10, 128 << 20
+#: Kinds of bytes: a for letters and digits (of ASCII and U+00C0 to U+00FF), x for other ASCII, ? for any other.
+KINDS = bytes(97 if chr(c).isalnum() and c < 128 or 128 <= c < 192 or c == 0xC3 else 46 if c in b".," else 32 if c in b" \n" else 120 if c < 128 else 63 for c in range(256))
 #: A token table's end-of-document id.
 END_ID = 1
 
@@ -219,29 +222,80 @@ class Encoder(dict):
     The memory stops growing at ``limit`` words.
     """
 
-    WORD_AND_MARKS = re.compile("([a-zß-öø-ÿ]+)([.,!?;:%$&*#]+)")
+    WORD_AND_MARKS = re.compile("([a-zß-öø-ÿ]+)([.,!?;:%$&*#]*)")
+    BYTES, WORDS = 8 << 20, 2000
 
     def __init__(self, path: str, limit: int = 400_000):
         super().__init__({"": b""})
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.tokenizer, self.limit, self.new = Tokenizer.from_file(path), limit, {}
+        self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
+        self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        m = self.WORD_AND_MARKS.fullmatch(word)
-        out = self[m[1]] + self[m[2]] if m else self.whole(word)
+        out = self.new.get(word)
+        if out is None:
+            m = self.WORD_AND_MARKS.fullmatch(word)
+            out = self[m[1]] + self[m[2]] if m and m[2] else self.whole(word)
         if len(self) < self.limit and len(word) < 100:
             self[word] = out
         return out
 
-    def ids(self, text: bytes) -> np.ndarray:
-        if b"<|" in text:
-            return np.frombuffer(self.whole(text.decode("utf-8", "replace")), "<u4")
-        words = text.translate(LOWER).replace(b"\n", b" ").decode("utf-8", "replace").split(" ")
-        return np.frombuffer(b"".join(map(self.__getitem__, words)), "<u4")
+    def learn(self, words: set[str]) -> None:
+        """Encode new words of letters alone many at a time; each ends with a word-end token."""
+        found = [m[1] for w in words if (m := self.WORD_AND_MARKS.fullmatch(w)) and m[1] not in self]
+        found, self.new = list(dict.fromkeys(found)), {}
+        for at in range(0, len(found), self.WORDS):
+            some = found[at : at + self.WORDS]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(ends) == len(some):
+                data = ids.tobytes()
+                self.new |= {w: data[4 * a : 4 * b] for w, a, b in zip(some, [0, *ends], ends, strict=False)}
+
+    @staticmethod
+    def parts(text: bytes) -> bytes:
+        """Lower-cased parts that the pre-tokenizer never joins, between blanks.
+
+        Full stops and commas are parts of their own if all of them stand next to
+        letters, digits and blanks only; else they might belong to a run of marks.
+        """
+        kinds = text.translate(KINDS)
+        alone = not any(x in kinds for x in (b"?", b"..", b".x", b"x.")) and b"\xc3\x97" not in text and b"\xc3\xb7" not in text
+        text = text.translate(LOWER).replace(b"\n", b" ")
+        if alone:
+            text = text.replace(b".", b" . ").replace(b",", b" , ")
+        return text
+
+    def ids(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text, some megabytes of texts at a time."""
+        some, size = [], 0
+        for text in texts:
+            some.append(text)
+            size += len(text)
+            if size >= self.BYTES:
+                yield from self.some_ids(some)
+                some, size = [], 0
+        yield from self.some_ids(some)
+
+    def some_ids(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Each distinct part is looked up once; Arrow's kernels deal the ids out to its places."""
+        parts = pc.split_pattern(pa.array([b"" if b"<|" in t else self.parts(t) for t in texts], pa.large_binary()).cast(pa.large_string()), " ")
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self.learn(set(words).difference(self))
+        found = [self[w] for w in words]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(sizes)), np.frombuffer(b"".join(found), "<u4"))
+        at = coded.indices.to_numpy()
+        flat = lists.take(coded.indices).flatten().to_numpy()
+        ends = np.append(0, np.cumsum(sizes[at]))[np.asarray(parts.offsets)]
+        for text, a, b in zip(texts, ends, ends[1:], strict=False):
+            yield np.frombuffer(self.whole(text.decode("utf-8", "replace")), "<u4") if b"<|" in text else flat[a:b]
 
 
 def write_token_tables(df: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -265,11 +319,11 @@ def write_token_tables(df: DataFrame, folder: str, tokenizer: str, end_id: int =
         for batch in batches:
             encoder = encoder or Encoder(tokenizer)
             ids = batch.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, utf8(batch.column("text")), strict=True):
+            for doc_id, found in zip(ids, encoder.ids(utf8(batch.column("text"))), strict=True):
                 if writer is None:
                     uri = f"{folder}/part-{part:07d}-{k:05d}.sst"
                     writer = Writer(uri)
-                writer.add(doc_id, np.append(encoder.ids(text), np.uint32(end_id)))
+                writer.add(doc_id, np.append(found, np.uint32(end_id)))
                 if writer.at >= FILE:
                     close()
                     writer, k = None, k + 1
