@@ -223,7 +223,7 @@ class Encoder(dict):
     """
 
     WORD_AND_MARKS = re.compile("([a-zß-öø-ÿ]+)([.,!?;:%$&*#]*)")
-    BYTES, WORDS = 8 << 20, 2000
+    BYTES, WORDS = 40 << 20, 2000
 
     def __init__(self, path: str, limit: int = 400_000):
         super().__init__({"": b""})
@@ -272,7 +272,7 @@ class Encoder(dict):
         return text
 
     def ids(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """Ids of each text, some megabytes of texts at a time."""
+        """Ids of each text, some tens of megabytes of texts at a time."""
         some, size = [], 0
         for text in texts:
             some.append(text)
