@@ -156,7 +156,7 @@ def repeated_keys(cells: np.ndarray, keys: list[np.ndarray]) -> Iterator[tuple[i
     order = np.argsort(owner, kind="stable")
     out, owner = out[order], owner[order]
     at = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
-    for a, b in zip(at, np.append(at[1:], len(owner)), strict=len(at) > 0):
+    for a, b in zip(at, np.append(at[1:], len(owner))[: len(at)], strict=True):
         yield int(owner[a]), out[a:b]
 
 
@@ -308,7 +308,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, many: int = MANY, id_col
         order = np.argsort(to, kind="stable")
         keys, to = keys[order], to[order]
         at = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
-        blobs = [keys[a:b].tobytes() for a, b in zip(at, [*at[1:], len(to)], strict=True)]
+        blobs = [keys[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(to))[: len(at)], strict=True)]
         cell = t.column("cell")[0].as_py()
         return pa.table({"bucket": pa.array(to[at].astype(np.int32)), "cell": pa.array([cell] * len(at), pa.int32()), "keys": pa.array(blobs, pa.binary())})
 
