@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -298,6 +299,12 @@ class Encoder(dict):
             yield np.frombuffer(self.whole(text.decode("utf-8", "replace")), "<u4") if b"<|" in text else flat[a:b]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """One encoder in a worker process, so what it has learnt serves later tasks too."""
+    return Encoder(path)
+
+
 def write_token_tables(df: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the texts' ids as tables in ascending id order; one row for each file.
 
@@ -317,7 +324,7 @@ def write_token_tables(df: DataFrame, folder: str, tokenizer: str, end_id: int =
             made.append((uri, part, writer.n_docs, writer.n_tokens))
 
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer)
+            encoder = encoder_of(tokenizer)
             ids = batch.column("doc_id").to_pylist()
             for doc_id, found in zip(ids, encoder.ids(utf8(batch.column("text"))), strict=True):
                 if writer is None:
