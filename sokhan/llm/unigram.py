@@ -127,7 +127,7 @@ class Unigram:
     then the best splits of the parts in a row. Otherwise it is taken whole.
     """
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 400_000):
+    def __init__(self, vocabulary: Vocabulary, limit: int = 200_000):
         v = self.v = vocabulary
         ids = [i for i, ok in enumerate(v.normal) if ok]
         self.trie = DoubleArray([v.pieces[i] for i in ids], ids)
@@ -205,18 +205,17 @@ def share(spark: SparkSession, vocabulary: Vocabulary):
 
 
 def encode(text: Column, shared) -> Column:
-    """struct<ids array<int>, n_byte_ids long, ids_crc32 long> of a text column."""
-    fields = [("ids", pa.list_(pa.int32())), ("n_byte_ids", pa.int64()), ("ids_crc32", pa.int64())]
+    """struct<ids array<int>, n_byte_ids long, ids_crc32 long, decoded string>; decoded is the text read back from the ids."""
 
-    @F.arrow_udf("ids array<int>, n_byte_ids long, ids_crc32 long")
+    @F.arrow_udf("ids array<int>, n_byte_ids long, ids_crc32 long, decoded string")
     def run(texts: pa.Array) -> pa.Array:
         model = shared.value
-        ids = [model.encode(t or "") for t in texts.to_pylist()]
+        ids = [model.encode(t.as_py() or "") for t in texts]
         sizes = np.cumsum([0] + [len(x) for x in ids])
         flat = np.concatenate([*ids, np.zeros(0, "<u4")])
         lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat.astype("i4")))
         is_byte = [int(model.is_byte[x].sum()) for x in ids]
-        return pa.StructArray.from_arrays([lists, pa.array(is_byte, pa.int64()), pa.array([zlib.crc32(np.ascontiguousarray(x)) for x in ids], pa.int64())], [n for n, _ in fields])
+        return pa.StructArray.from_arrays([lists, pa.array(is_byte, pa.int64()), pa.array([zlib.crc32(np.ascontiguousarray(x)) for x in ids], pa.int64()), pa.array((model.decode(x.tolist()) for x in ids), pa.string())], ["ids", "n_byte_ids", "ids_crc32", "decoded"])
 
     return run(text)
 
@@ -239,8 +238,7 @@ def encode_documents(df: DataFrame, path: str, text_col: str = "text") -> DataFr
     """
     shared = share(df.sparkSession, Vocabulary.load(path))
     out = df.withColumn("_encoded", encode(F.col(text_col).cast("string"), shared))
-    out = out.withColumns({n: F.col(f"_encoded.{n}") for n in ("ids", "n_byte_ids", "ids_crc32")}).drop("_encoded")
-    return out.withColumn("decoded", decode(F.col("ids"), shared))
+    return out.withColumns({n: F.col(f"_encoded.{n}") for n in ("ids", "n_byte_ids", "ids_crc32", "decoded")}).drop("_encoded")
 
 
 def vocabulary_path(path: str | None = None) -> str:
