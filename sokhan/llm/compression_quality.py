@@ -33,6 +33,7 @@ from sokhan.llm.common import prepare, table, utf8
 BLOCK, LEVEL, DICTIONARY, FOLDS, SAMPLE_CHARS = 1024, 3, 112_640, 5, 4096
 #: Documents of each label for the dictionaries, and for the calibration.
 DICTIONARY_ROWS, CALIBRATION_ROWS = 600, 3000
+RIDGE = 1.0
 
 
 @dataclass
@@ -78,17 +79,25 @@ class Model:
         return np.column_stack((np.ones(len(x)), x, x[:, :1] * x[:, 1:], x**2))
 
     def calibrate(self, features: np.ndarray, label: np.ndarray, weight: np.ndarray) -> None:
-        """Weighted logistic regression by Newton steps, with a light ridge."""
+        """Weighted logistic regression by damped Newton steps, with a ridge."""
         self.mean = np.nanmean(features, axis=0)
         self.scale = np.nanstd(features, axis=0) + 1e-9
         x = self.design(features)
-        w = np.zeros(x.shape[1])
+
+        def loss(w: np.ndarray) -> float:
+            z = x @ w
+            return float((weight * (np.logaddexp(0, z) - label * z)).sum() + RIDGE / 2 * (w[1:] ** 2).sum())
+
+        w, shrink = np.zeros(x.shape[1]), RIDGE * np.diag([0.0] + [1.0] * (x.shape[1] - 1))
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            slope = x.T @ (weight * (p - label)) + 1e-2 * w
-            bend = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + 1e-2 * np.eye(len(w))
-            step = np.linalg.solve(bend, slope)
-            w -= step
+            slope = x.T @ (weight * (p - label)) + shrink @ w
+            bend = (x * (weight * p * (1 - p))[:, None]).T @ x + shrink + 1e-6 * np.eye(len(w))
+            step, now = np.linalg.solve(bend, slope), loss(w)
+            # A full step may overshoot where the labels part cleanly.
+            while loss(w - step) > now and np.abs(step).max() > 1e-10:
+                step /= 2
+            w = w - step
             if np.abs(step).max() < 1e-8:
                 break
         self.weights = w
