@@ -65,3 +65,16 @@ def test_gates_report_and_manifest(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "m")).count() == 1
     names = sinks.write_arrow(out.filter("gate is null").select("audio", "text"), str(tmp_path / "d"))
     assert len(names) == 1 and (tmp_path / "d" / "state.json").exists()
+
+
+def test_commands(spark, tmp_path):
+    from sokhan.plans.commands import run
+
+    (tmp_path / "a.jsonl").write_text('{"audio":"a.wav","text":"سلام دنیا ۵","duration":"2.5","mos":3}\n{"audio":"b","text":"یک دو","duration":1,"mos":1}\n', encoding="utf-8")
+    report = run(["normalize", str(tmp_path / "a.jsonl"), str(tmp_path / "out"), "--min-field", "mos=2", "--keep-fields", "mos", "--report", str(tmp_path / "r.json")], spark)
+    assert report["stages"] == {"kept": 1, "drop_mos_out_of_range": 1}
+    assert [r["text"] for r in spark.read.json(str(tmp_path / "out")).collect()] == ["سلام دنیا پنج"]
+    run(["build", str(tmp_path / "a.jsonl"), str(tmp_path / "ds")], spark)
+    assert spark.read.parquet(str(tmp_path / "ds")).count() == 2
+    assert run(["try", "۵"], spark)[0]["text"] == "پنج"
+    assert run(["inspect", str(tmp_path / "ds")], spark)["rows"] == 2
