@@ -127,7 +127,7 @@ class Unigram:
     then the best splits of the parts in a row. Otherwise it is taken whole.
     """
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, limit: int = 400_000):
         v = self.v = vocabulary
         ids = [i for i, ok in enumerate(v.normal) if ok]
         self.trie = DoubleArray([v.pieces[i] for i in ids], ids)
@@ -146,25 +146,33 @@ class Unigram:
     def best(self, text: bytes) -> list[int]:
         """Viterbi over the text's bytes; only whole characters are reached."""
         n, scores = len(text), self.v.scores
-        score, back = [-math.inf] * (n + 1), [(0, -1)] * (n + 1)
+        base, check, value = self.trie.base, self.trie.check, self.trie.value
+        score, start_of, piece_of = [-math.inf] * (n + 1), [0] * (n + 1), [-1] * (n + 1)
         score[0] = 0.0
         for at in range(n):
             here = score[at]
             if here == -math.inf:
                 continue
             lead = text[at]
-            width = 1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4
-            single = False
-            for end, piece in self.trie.prefixes(text, at):
-                if here + scores[piece] > score[end]:
-                    score[end], back[end] = here + scores[piece], (at, piece)
-                single |= end - at == width
-            end = min(n, at + width)
-            if not single and here + self.lowest > score[end]:
-                score[end], back[end] = here + self.lowest, (at, -1)
+            whole = at + (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4)
+            single, state, end = False, 0, at
+            # The trie walk of DoubleArray.prefixes, written out: it is the hot loop.
+            while end < n:
+                t = base[state] + text[end]
+                if check[t] != state:
+                    break
+                state, end, piece = t, end + 1, value[t]
+                if piece >= 0:
+                    new = here + scores[piece]
+                    if new > score[end]:
+                        score[end], start_of[end], piece_of[end] = new, at, piece
+                    if end == whole:
+                        single = True
+            if not single and here + self.lowest > score[whole]:
+                score[whole], start_of[whole], piece_of[whole] = here + self.lowest, at, -1
         out, at = [], n
         while at:
-            start, piece = back[at]
+            start, piece = start_of[at], piece_of[at]
             out += [piece] if piece >= 0 else [self.v.byte_ids[b] for b in text[start:at][::-1]]
             at = start
         return out[::-1]
