@@ -13,6 +13,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sokhan import tables as T
 
@@ -70,7 +71,7 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^{S}+|{S}+$", "")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _nfc(texts: pa.Array) -> pa.Array:
     return pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in texts.to_pylist()], pa.string())
 

@@ -206,7 +206,7 @@ def wav_seconds(head: bytes | None) -> float | None:
     return None
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def wav_duration(heads: pa.Array) -> pa.Array:
     """Seconds of WAV clips; pass F.substring(bytes, 1, 128)."""
     return pa.array([wav_seconds(h) for h in heads.to_pylist()], pa.float64())
