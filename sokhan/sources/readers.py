@@ -21,7 +21,7 @@ EXTRA = "map<string,string>"
 
 def rooted(path: Column, root: str | None) -> Column:
     """Under a root unless absolute."""
-    return path if not root else F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat_ws("/", F.lit(root.rstrip("/")), path))
+    return path if not root else F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
 
 
 def shaped(df: DataFrame, audio: Column, text: Column, duration: Column, speaker: Column, extra: Column | None = None, error: Column | None = None) -> DataFrame:
