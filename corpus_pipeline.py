@@ -11,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sokhan.llm import compression_quality, decontamination, personal_data, simhash, unigram
+from sokhan.llm import compression_quality, decontamination, near_copies, personal_data, unigram
 from sokhan.llm.common import shared_folder, table
 
 #: Documents that score less are dropped.
 QUALITY = 0.3
-#: Fingerprints over five words; a class of them keeps one document.
-SHINGLE, RADIUS = 5, 3
+#: Texts whose five-word shingles are as similar are near copies; a class of them keeps one document.
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the document with the smallest id."""
-    return simhash.keep_one(docs, shingle=SHINGLE, radius=RADIUS).select(*docs.columns)
+    return near_copies.keep_one(docs, shingle=SHINGLE, similarity=SIMILARITY).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

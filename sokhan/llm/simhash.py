@@ -23,7 +23,7 @@ alone is named null). Repeated rows get equal results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -35,6 +35,8 @@ from pyspark.sql import functions as F
 from sokhan.llm.common import LOWER, by_batch, id_and_text, partitions, prepare, table, utf8
 
 TREE_NODES = 4096
+#: From a tree's members and its queries to the links that connect them.
+Linker = Callable[[list[tuple], Iterator[tuple]], Iterator[tuple[int, int]]]
 
 
 def shingle_hashes(text: bytes, size: int, seed: int) -> np.ndarray:
@@ -141,52 +143,66 @@ def shard_keys(fp: Column, radius: int) -> Column:
 
 def links(nodes: DataFrame, radius: int) -> DataFrame:
     """Links (u, v) that connect the distinct fingerprints (fp) as all links within the radius do."""
-    spark = nodes.sparkSession
-    n = partitions(spark)
     keyed = nodes.select("fp", F.explode(shard_keys(F.col("fp"), radius)).alias("k")).select("fp", "k.pair", "k.value")
+    mask = (1 << 64) - 1
+
+    def linker(members: list[tuple], queries: Iterator[tuple]) -> Iterator[tuple[int, int]]:
+        for pair in shard_links([x & mask for (x,) in members], (x & mask for (x,) in queries), radius):
+            yield tuple(x - (1 << 64) if x >> 63 else x for x in pair)
+
+    return dealt_links(keyed, linker)
+
+
+def dealt_links(keyed: DataFrame, linker: Linker) -> DataFrame:
+    """Links (u, v) of the trees of every shard (pair, value) of fingerprints (fp)."""
     sizes = keyed.groupBy("pair", "value").agg(F.count("*").alias("n")).filter("n > 1")
     trees = F.ceil(F.col("n") / TREE_NODES).cast("int")
     # Shards of one member drop out; a large shard's members go to their own tree and, as queries, to later ones.
     dealt = keyed.join(sizes, ["pair", "value"]).withColumn("tree", F.pmod(F.xxhash64("fp"), trees).cast("int"))
     rows = dealt.select("pair", "value", "fp", F.explode(F.sequence("tree", trees - 1)).alias("at"), "tree").withColumn("query", F.col("at") != F.col("tree"))
+    return tree_links(rows, ["pair", "value", "at"], ["fp"], linker)
+
+
+def tree_links(rows: DataFrame, order: list[str], item: list[str], linker: Linker) -> DataFrame:
+    """Links (u, v) that linker gives for the rows of each tree (order): members' items, then those of its queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: list[tuple[int, int]] = []
 
         def groups():
             for batch in batches:
-                cols = [batch.column(c).to_pylist() for c in ("pair", "value", "at", "query", "fp")]
-                for p, v, t, q, fp in zip(*cols, strict=True):
-                    yield (p, v, t), q, fp
+                keys = zip(*(batch.column(c).to_pylist() for c in order), strict=True)
+                items = zip(*(batch.column(c).to_pylist() for c in item), strict=True)
+                yield from zip(keys, batch.column("query").to_pylist(), items, strict=True)
 
         rows_of = groups()
         ahead = next(rows_of, None)
         while ahead is not None:
             key, members = ahead[0], []
             while ahead is not None and ahead[0] == key and not ahead[1]:
-                members.append(ahead[2] & (1 << 64) - 1)
+                members.append(ahead[2])
                 ahead = next(rows_of, None)
 
             def queries(key=key):
                 nonlocal ahead
                 while ahead is not None and ahead[0] == key:
-                    x = ahead[2] & (1 << 64) - 1
+                    x = ahead[2]
                     ahead = next(rows_of, None)
                     yield x
 
-            for u, v in shard_links(members, queries(), radius):
-                made.append((u, v))
+            for pair in linker(members, queries()):
+                made.append(pair)
                 if len(made) >= 10_000:
                     yield batch_of(made)
                     made = []
         yield batch_of(made)
 
     def batch_of(made: list[tuple[int, int]]) -> pa.RecordBatch:
-        pairs = np.array(made, np.uint64).reshape(-1, 2).astype(np.int64)
+        pairs = np.array(made, np.int64).reshape(-1, 2)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
-    order = ["pair", "value", "at"]
-    return rows.repartition(n, *order).sortWithinPartitions(*order, "query").select(*order, "query", "fp").mapInArrow(run, "u long, v long")
+    n = partitions(rows.sparkSession)
+    return rows.repartition(n, *order).sortWithinPartitions(*order, "query").select(*order, "query", *item).mapInArrow(run, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -212,13 +228,11 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def classes(prints: DataFrame, radius: int, root: bool = False) -> DataFrame:
-    """fp and component_id of every distinct fingerprint of (doc_id, fp); or fp and the class's least fp."""
+def classes(prints: DataFrame, radius: int) -> DataFrame:
+    """fp and component_id of every distinct fingerprint of (doc_id, fp)."""
     nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
     reached = components(links(nodes.select("fp"), radius))
     roots = nodes.join(reached.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root")).checkpoint()
-    if root:
-        return roots.select("fp", "root")
     named = roots.groupBy("root").agg(F.min("least_id").alias("component_id"))
     return roots.join(named, "root").select("fp", "component_id")
 
@@ -234,27 +248,3 @@ def op10_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and class of every document."""
     out = near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
-
-def keep_one(df: DataFrame, shingle: int = 3, radius: int = 2, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of one row of each class: that of the smallest id (nulls first), then text hash."""
-    prepare(df.sparkSession)
-    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    thin = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    prints = with_fingerprint(thin, shingle, seed).checkpoint()
-    named = prints.join(classes(prints.select("doc_id", "fp"), radius, root=True), "fp")
-    chosen = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
-    rows = df.withColumn("_text_hash", text_hash)
-    met = rows.join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    return met.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
-
-
-def with_fingerprint(thin: DataFrame, shingle: int, seed: int) -> DataFrame:
-    """doc_id, text_hash and fp of rows (doc_id, text)."""
-    hashed = thin.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-
-    def run(batch: pa.RecordBatch) -> dict[str, list]:
-        prints = [fingerprint(shingle_hashes(t, shingle, seed)) for t in utf8(batch.column("text"))]
-        return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "fp": prints}
-
-    return by_batch(hashed, run, "doc_id long, text_hash long, fp long", pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("fp", pa.int64())]))

@@ -9,7 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from sokhan.llm import decontamination, histogram_shards, license_templates, line_rules, personal_data, simhash, suffix_dedup, token_tables, unigram
+from sokhan.llm import decontamination, histogram_shards, license_templates, line_rules, near_copies, personal_data, simhash, suffix_dedup, token_tables, unigram
 
 EDGES = [(900, None), (901, ""), (902, " \n\t "), (903, "x" * 120_000), (None, "no id"), (904, "twin text"), (904, "twin text")]
 TABLES = "/root/testdata/sf0.001"
@@ -66,11 +66,62 @@ def test_simhash(spark):
         if x["doc_id"] is not None:
             least[root(x["fp"])] = min(least.get(root(x["fp"]), 1 << 60), x["doc_id"])
     assert len(rows) == len(docs) and all(x["component_id"] == least.get(root(x["fp"])) for x in rows)
-    kept = simhash.keep_one(frame(spark, docs)).collect()
-    assert len(kept) == len({root(p) for p in prints})
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def brute_classes(docs, size=5, similarity=0.8):
+    """Index of a class for each document, by all pairs."""
+    def shingles(text):
+        words = re.findall("[^\\x20\\x09-\\x0D]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
+        return {" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))} if words else set()
+
+    sets, at = [shingles(t) for _, t in docs], list(range(len(docs)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if at[i] != at[j] and (a == b or len(a & b) >= similarity * len(a | b)):
+                at = [at[j] if x == at[i] else x for x in at]
+    return at
+
+
+def edited(r, words, share):
+    return " ".join(w if r.random() > share else f"new{r.randint(0, 999)}" for w in words)
+
+
+@pytest.mark.parametrize("nodes", [4096, 7])
+def test_near_copies(monkeypatch, spark, nodes):
+    """Every class at 0.8 exactly as all pairs give it, and the smallest id kept; small trees split groups."""
+    monkeypatch.setattr(near_copies, "TREE_NODES", nodes)
+    monkeypatch.setattr(simhash, "TREE_NODES", nodes)
+    r = random.Random(6)
+    base = [[f"w{r.randint(0, 3000)}" for _ in range(r.choice((60, 150, 400)))] for _ in range(25)]
+    docs = [(i, edited(r, base[i % 25] if i % 3 else base[0], r.choice((0, 0.005, 0.01, 0.02, 0.05)))) for i in range(300)] + EDGES + [(905, "Twin TEXT"), (906, "x y z w v u")]
+    least = {}
+    for (d, t), c in zip(docs, brute_classes(docs), strict=True):
+        least[c] = min(least.get(c, (2**60, "")), (-1 if d is None else d, t or ""))
+    got = near_copies.keep_one(frame(spark, docs)).collect()
+    assert sorted(-1 if x["doc_id"] is None else x["doc_id"] for x in got) == sorted(d for d, _ in least.values())
+    assert set(got[0].asDict()) == {"doc_id", "text", "shard"}
+    assert near_copies.keep_one(frame(spark, [])).count() == 0
+
+
+def test_class_tree():
+    """Links connect what all pairs connect, though whole subtrees are skipped."""
+    r = random.Random(7)
+    items = [(r.getrandbits(12), k) for k in range(400)]
+    near = lambda a, b: (a[0] ^ b[0]).bit_count() <= 2 and (a[1] + b[1]) % 3 > 0
+
+    def joined(pairs):
+        at = list(range(len(items)))
+        for a, b in pairs:
+            if at[a] != at[b]:
+                at = [at[a] if x == at[b] else x for x in at]
+        return [at.index(x) for x in at]
+
+    links = [(a[1], b[1]) for a, b in near_copies.class_links(items[:300], iter(items[300:]), 2, near)]
+    want = [(a[1], b[1]) for i, a in enumerate(items) for b in items[:i] if near(a, b) and b[1] < 300]
+    assert joined(links) == joined(want) and len(links) < len(items) * 2
+
+
 def test_bk_tree_and_split_shards(monkeypatch, spark):
     monkeypatch.setattr(simhash, "TREE_NODES", 3)
     r = random.Random(2)
