@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUANTILES = {"min": 0.0, "p10": 0.10, "p25": 0.25, "median": 0.50, "p75": 0.75, "p90": 0.90, "max": 1.0}
+#: Bins of distinct values in exact quantiles.
+BINS = 128
 
 
 def stage_counts(df: DataFrame, gate: str = "gate") -> DataFrame:
@@ -32,17 +34,18 @@ def unexpected_top(df: DataFrame, unexpected: Column, k: int = 40) -> DataFrame:
 def ranked(df: DataFrame, value: str, quantiles: dict[str, float]) -> DataFrame:
     """One row of nearest-rank quantiles v[min(n - 1, floor(p n))], by a counted histogram.
 
-    Equal values are counted first, and the running count is over partition sums,
-    so that no task sorts all rows.
+    Equal values are counted first. Distinct values fall into bins between their
+    approximate quantiles, near equal in size however the values are spread, and
+    the running count is over the bins' sums, so that no task sorts all rows.
+    The edges only deal values out; the result is exact.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("c"))
     total = counts.agg(F.sum("c").alias("n"))
-    width = F.lit(256)
-    bounds = counts.agg(F.min("v").cast("double").alias("lo"), F.max("v").cast("double").alias("hi"))
-    binned = counts.crossJoin(F.broadcast(bounds)).withColumn("bin", F.when(F.col("hi") > F.col("lo"), F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * width), width - 1)).otherwise(0).cast("int"))
-    bins = binned.groupBy("bin").agg(F.sum("c").alias("in_bin"))
-    before = bins.select("bin", (F.sum("in_bin").over(Window.orderBy("bin")) - F.col("in_bin")).alias("before"))  # 256 rows
-    below = binned.join(F.broadcast(before), "bin").select("v", "c", (F.col("before") + F.sum("c").over(Window.partitionBy("bin").orderBy("v")) - F.col("c")).alias("below"))
+    edges = counts.agg(F.array_distinct(F.percentile_approx("v", [i / BINS for i in range(1, BINS)], 10 * BINS)).alias("edges"))
+    dealt = counts.crossJoin(F.broadcast(edges)).withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("v")))).drop("edges")
+    bins = dealt.groupBy("bin").agg(F.sum("c").alias("in_bin"))
+    before = bins.select("bin", (F.sum("in_bin").over(Window.orderBy("bin")) - F.col("in_bin")).alias("before"))  # a row for each bin
+    below = dealt.join(F.broadcast(before), "bin").select("v", "c", (F.col("before") + F.sum("c").over(Window.partitionBy("bin").orderBy("v")) - F.col("c")).alias("below"))
     at = {name: F.least(F.col("n") - 1, F.floor(F.lit(p) * F.col("n"))) for name, p in quantiles.items()}
     rows = below.crossJoin(F.broadcast(total))
     return rows.agg(*(F.max(F.when((F.col("below") <= a) & (a < F.col("below") + F.col("c")), F.col("v"))).alias(n) for n, a in at.items()))
