@@ -8,7 +8,9 @@ and benchmark items are hash-joined. Matches of a document and an item on one
 diagonal (equal offset) are one alignment; it counts if its slots are consistent:
 the item's values and the document's map one to one, so a question asked again
 with other numbers or names is found, and scattered lookalikes are not. A pair is
-a leak if consistent alignments cover ``COVERAGE`` of the item's windows.
+a leak if consistent alignments cover ``COVERAGE`` of the item's windows. A
+capitalised first word of an item is met as a word and, after another word, as a
+name, but only by the same word.
 
 Items shorter than a window are one window of all their words, met by windows of
 that length. Items without words match nothing; null and empty texts have no
@@ -69,8 +71,12 @@ def windows(df: DataFrame, size: int) -> DataFrame:
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     """item_id, n_windows, size, item_at, window, item_words, item_template for each window of each item."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words(text).alias("w"), template(text).alias("t"))
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), words(text).alias("w"), template(text).alias("t"))
     items = items.withColumn("size", F.least(F.lit(window), F.size("t"))).withColumn("n_windows", F.size("t") - F.col("size") + 1)
+    # A capitalised first word is a word in the item and a name in a document that puts it after another word.
+    opens = items.filter(F.regexp_like(F.trim("text"), F.lit(r"^\p{Lu}\p{L}*+(?![\p{N}])")))
+    opens = opens.withColumns({"w": F.slice("w", F.lit(1), F.col("size")), "t": F.concat(F.array(F.lit(NAME)), F.slice("t", F.lit(2), F.col("size") - 1))})
+    items = items.unionByName(opens)
     sized = [windows(items.filter(F.col("size") == k), k).select("item_id", "n_windows", "size", F.col("at").alias("item_at"), "window", F.array(*(f"w{i}" for i in range(k))).alias("item_words"), F.array(*(f"t{i}" for i in range(k))).alias("item_template")) for k in range(1, window + 1)]
     return reduce(DataFrame.unionByName, sized)
 
@@ -90,6 +96,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
         each = windows(rows, size).withColumnRenamed("at", "doc_at")
         mine = items.filter(F.col("size") == size)
         met = each.join(F.broadcast(mine) if bounded else mine, "window")
+        met = met.filter((F.col("item_at") > 0) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == F.col("w0")))
         met = met.select("doc_id", "text_hash", "item_id", "n_windows", "item_at", "doc_at", "item_template", "item_words", F.array(*(f"w{i}" for i in range(size))).alias("doc_words"))
         found = met if found is None else found.unionByName(met)
     if found is None:

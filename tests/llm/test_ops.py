@@ -269,6 +269,67 @@ def test_decontamination(spark):
     assert decontamination.decontaminate(docs, items).count() == len(EDGES) + 1
 
 
+def brute_leaks(docs, items, window=8, coverage=0.8):
+    """Pairs (document's place, item) by comparing every window with every window."""
+    import regex
+
+    number, name, unit = decontamination.NUMBER, decontamination.NAME, decontamination.UNIT
+
+    def parse(text):
+        w = regex.sub(r"[^\p{L}\p{N}]+", " ", text).lower().split()
+        t = regex.sub(r"(?<![\p{L}\p{N}])[0-9]+(?![\p{L}\p{N}])", number, text)
+        t = regex.sub(rf"(?i)(?<={number} )(?:{decontamination.UNITS})(?![\p{{L}}\p{{N}}])", unit, t)
+        t = regex.sub(r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", name, t)
+        return w, regex.sub(rf"[^\p{{L}}\p{{N}}{number}{name}{unit}]+", " ", t).lower().split()
+
+    out = set()
+    for item, text in items:
+        iw, it = parse(text or "")
+        size = min(window, len(it))
+        n = len(it) - size + 1
+        heads = [it, [name, *it[1:]]] if regex.match(r" *\p{Lu}\p{L}*+(?![\p{N}])", text or "") else [it]
+        for k, (_, body) in enumerate(docs):
+            dw, dt = parse(body or "")
+            found = {}
+            for head in heads if size else []:
+                for i in range(n if head is it else 1):
+                    for j in range(len(dt) - size + 1):
+                        if head[i : i + size] == dt[j : j + size] and (head is it or iw[0] == dw[j]):
+                            at, slots = found.setdefault(j - i, (set(), set()))
+                            at.add(i)
+                            slots |= {(t, a, b) for t, a, b in zip(head[i : i + size], iw[i : i + size], dw[j : j + size], strict=True) if t in (number, name, unit)}
+            good = [at for at, slots in found.values() if len(slots) == len({x[:2] for x in slots}) == len({(t, b) for t, _, b in slots})]
+            if good and len(set.union(*good)) >= coverage * n:
+                out.add((k, item))
+    return out
+
+
+def test_decontamination_by_brute_force(spark):
+    r = random.Random(8)
+    said = "the a of to gives takes more than left how many are there each so then".split()
+    names, units = "Tom Anna Zed Mary Omar".split(), "km kg hours miles".split()
+
+    def sentence(n):
+        out = [r.choice((*said, *said, str(r.randint(1, 40)) + " " + r.choice(units), r.choice(names))) for _ in range(n)]
+        return " ".join([out[0].capitalize(), *out[1:]]) + r.choice((".", "?", ""))
+
+    items = [(i, sentence(r.randint(3, 30))) for i in range(25)] + [(90, None), (91, ""), (92, "What is it?")]
+    docs = []
+    for i in range(150):
+        text = items[r.randrange(25)][1]
+        if r.random() < 0.5:
+            text = re.sub("[0-9]+", lambda m: str((int(m[0]) * 7) % 41), text)
+        if r.random() < 0.3:
+            text = text.replace("Tom", "Lea").replace(r.choice(names), "Tom")
+        if r.random() < 0.3:
+            text = text[: r.randint(1, len(text))]
+        docs.append((i, f"{sentence(r.randint(2, 9))} {text} {sentence(r.randint(2, 9))}"))
+    docs += [(150, "so what is it now"), (151, "so What is it"), (152, None), (153, "")]
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute_leaks(docs, items)
+    assert got == want and len(want) > 60 and {(150, 92), (151, 92)} <= want
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables")
 def test_quality_on_held_out_labels(spark):
     from sokhan.llm.compression_quality import op8_compression_quality
