@@ -32,7 +32,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sokhan.llm.common import by_batch, partitions, prepare, utf8
@@ -140,6 +140,11 @@ def class_links(members: list[tuple], queries: Iterator[tuple], radius: int, sam
             yield tree.kept[i], item
 
 
+def key(doc_id: Column, text_hash: Column) -> Column:
+    """What rows are told apart by, as one column: a struct's nulls are equal in joins."""
+    return F.struct(doc_id.cast("long").alias("id"), text_hash.alias("hash")).alias("_key")
+
+
 def nodes_of(thin: DataFrame, shingle: int, seed: int) -> DataFrame:
     """doc_id, text_hash, node, fp, n_shingles and bands of rows (doc_id, text, text_hash)."""
     schema = "doc_id long, text_hash long, node long, fp long, n_shingles long, bands array<long>"
@@ -168,12 +173,16 @@ def candidate_groups(nodes: DataFrame, radius: int) -> DataFrame:
     return components(dealt_links(keyed, linker)).select(F.col("node").alias("fp"), F.col("root").alias("group"))
 
 
-def verified_links(sets: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """Links (u, v) of nodes in rows (group, node, fp, n_shingles, shingles), by exact similarity."""
-    sizes = sets.groupBy("group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all_shingles")).filter("n > 1")
+def dealt_groups(nodes: DataFrame) -> DataFrame:
+    """Nodes (group, n_shingles ...) of groups of several, with a tree of their own and the group's number of trees."""
+    sizes = nodes.groupBy("group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all_shingles")).filter("n > 1")
     trees = F.ceil(F.greatest(F.col("n") / TREE_NODES, F.col("all_shingles") / TREE_SHINGLES)).cast("int")
-    dealt = sets.join(sizes, "group").withColumn("tree", F.pmod(F.xxhash64("node"), trees).cast("int"))
-    rows = dealt.select("group", "fp", "node", "shingles", "tree", F.explode(F.sequence("tree", trees - 1)).alias("at")).withColumn("query", F.col("at") != F.col("tree"))
+    return nodes.join(sizes, "group").withColumn("trees", trees).withColumn("tree", F.pmod(F.xxhash64("node"), "trees").cast("int")).drop("n", "all_shingles")
+
+
+def verified_links(sets: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Links (u, v) of nodes in rows (group, node, fp, tree, trees, shingles), by exact similarity."""
+    rows = sets.select("group", "fp", "node", "shingles", "tree", F.explode(F.sequence(F.col("tree"), F.col("trees") - 1)).alias("at")).withColumn("query", F.col("at") != F.col("tree"))
     mask = (1 << 64) - 1
 
     def same(a: tuple, b: tuple) -> bool:
@@ -203,18 +212,16 @@ def classes(df: DataFrame, shingle: int, similarity: float, radius: int, seed: i
     stands = F.min(F.struct("doc_id", "text_hash", "fp", "n_shingles", "bands")).alias("k")
     nodes = prints.groupBy("node").agg(stands).select("node", "k.*").checkpoint()
     grouped = nodes.join(candidate_groups(nodes, radius), "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-    several = grouped.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1").select("group")
-    wanted = grouped.join(several, "group", "left_semi").select("doc_id", "text_hash", "group", "node", "fp", "n_shingles").checkpoint()
-    a, b = thin.alias("a"), wanted.alias("b")
-    met = a.join(b, (F.col("a.text_hash") == F.col("b.text_hash")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")))
-    texts = met.select("b.group", "b.node", "b.fp", "b.n_shingles", "a.text").dropDuplicates(["node"])
-    names = ["group", "node", "fp", "n_shingles"]
+    names = ["group", "node", "fp", "tree", "trees"]
+    wanted = dealt_groups(grouped.drop("bands")).select(key(F.col("doc_id"), F.col("text_hash")), *names).checkpoint()
+    # Only texts of groups of several are read again; equal rows stand for the same node.
+    met = thin.select(key(F.col("doc_id"), F.col("text_hash")), "text").join(wanted, "_key").dropDuplicates(["_key"])
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
         return {c: batch.column(c) for c in names} | {"shingles": [shingle_set(t, shingle, seed).tobytes() for t in utf8(batch.column("text"))]}
 
-    out = pa.schema([(c, pa.int64()) for c in names] + [("shingles", pa.binary())])
-    sets = by_batch(texts, run, "group long, node long, fp long, n_shingles long, shingles binary", out)
+    out = pa.schema([(c, pa.int64() if k < 3 else pa.int32()) for k, c in enumerate(names)] + [("shingles", pa.binary())])
+    sets = by_batch(met.select(*names, "text"), run, "group long, node long, fp long, tree int, trees int, shingles binary", out)
     linked = components(verified_links(sets, radius, similarity))
     return prints.join(linked, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
 
@@ -222,7 +229,7 @@ def classes(df: DataFrame, shingle: int, similarity: float, radius: int, seed: i
 def keep_one(df: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: int = RADIUS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All columns of one row of each class: that of the smallest id (nulls first), then text hash."""
     named = classes(df, shingle, similarity, radius, seed, id_col, text_col)
-    chosen = named.groupBy("root").agg(F.min(F.struct("doc_id", "text_hash")).alias("k")).select(F.col("k.doc_id").alias("_id"), F.col("k.text_hash").alias("_hash"))
-    rows = df.withColumn("_text_hash", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    met = rows.join(chosen, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")), "left_semi")
-    return met.dropDuplicates([id_col, "_text_hash"]).drop("_text_hash")
+    chosen = named.groupBy("root").agg(F.min(key(F.col("doc_id"), F.col("text_hash"))).alias("_key")).select("_key")
+    rows = df.withColumn("_key", key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
+    # The join and what drops repeated rows share one exchange.
+    return rows.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
