@@ -40,6 +40,8 @@ from sokhan.llm.simhash import BKTree, components, dealt_links, fingerprint, shi
 
 ROWS, BANDS, RADIUS = 4, 12, 20
 TREE_SHINGLES = 4_000_000
+#: Parts of a group where its rows meet its size.
+SALTS = 16
 #: Odd factors and masks that mix a shingle's hash, the same in every process.
 _MIX = np.random.Generator(np.random.PCG64(42)).integers(0, 1 << 63, (2, ROWS * BANDS), np.uint64)
 _FACTOR, _MASK = _MIX[0] << np.uint64(1) | np.uint64(1), _MIX[1] << np.uint64(1)
@@ -177,7 +179,10 @@ def dealt_groups(nodes: DataFrame) -> DataFrame:
     """Nodes (group, n_shingles ...) of groups of several, with a tree of their own and the group's number of trees."""
     sizes = nodes.groupBy("group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all_shingles")).filter("n > 1")
     trees = F.ceil(F.greatest(F.col("n") / TREE_NODES, F.col("all_shingles") / TREE_SHINGLES)).cast("int")
-    return nodes.join(sizes, "group").withColumn("trees", trees).withColumn("tree", F.pmod(F.xxhash64("node"), "trees").cast("int")).drop("n", "all_shingles")
+    # A large group's rows are dealt over tasks by a salt, each of which meets a copy of the group's one row of sizes.
+    salted = nodes.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    met = salted.join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["group", "salt"])
+    return met.withColumn("trees", trees).withColumn("tree", F.pmod(F.xxhash64("node"), "trees").cast("int")).drop("n", "all_shingles", "salt")
 
 
 def verified_links(sets: DataFrame, radius: int, similarity: float) -> DataFrame:
