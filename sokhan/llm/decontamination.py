@@ -3,8 +3,10 @@
 DataFrame functions only. A text becomes words (runs of letters and digits, in
 lower case) and a template of as many places, in which whole numbers, names
 (capitalised words after a lower-case word or a comma) and units (after a number)
-are placeholders of their type. Windows of ``WINDOW`` template words of documents
-and benchmark items are hash-joined. Matches of a document and an item on one
+are placeholders of their type. Windows of ``WINDOW`` words of documents and
+benchmark items are hash-joined in each of three forms: the plain words, with
+numbers and units as placeholders, and with names too, so that a text in other
+letter case is found as well. Matches of a document and an item in one form on one
 diagonal (equal offset) are one alignment; it counts if its slots are consistent:
 the item's values and the document's map one to one, so a question asked again
 with other numbers or names is found, and scattered lookalikes are not. A pair is
@@ -20,7 +22,9 @@ result. Null ids are kept as an id of their own. Empty tables give no rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +36,8 @@ WINDOW, COVERAGE = 8, 0.8
 BROADCAST_WINDOWS = 1_000_000
 #: Leaking rows of up to this many, some 30 MB, are removed by a broadcast.
 BROADCAST_ROWS = 1_000_000
+#: What a window is hashed by: plain words, numbers and units as placeholders, names too.
+KINDS = PLAIN, COUNTED, NAMED = range(3)
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 UNITS = "km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|s|sec|min|h|hr|hrs|mph|usd|eur|gbp|dollars|euros|pounds|cents|percent|meters|metres|kilometers|kilometres|miles|feet|inches|liters|litres|grams|kilograms|hours|minutes|seconds|days|weeks|months|years"
 
@@ -45,6 +51,7 @@ def words(text: Column) -> Column:
 def template(text: Column) -> Column:
     """As words(), with placeholders in place of numbers, names and units."""
     t = F.translate(text, NUMBER + NAME + UNIT, "   ")
+    t = F.regexp_replace(t, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[0-9]++(?![\p{L}\p{N}])", NUMBER)
     t = F.regexp_replace(t, rf"(?i)(?<={NUMBER} )(?:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
     t = F.regexp_replace(t, r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", NAME)
@@ -55,30 +62,52 @@ def parts(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.trim(text)), " "), "")
 
 
-def windows(df: DataFrame, size: int) -> DataFrame:
-    """Each window of a size of rows with words w and template t: at, window (its hash), w0, w1 ...
+def at(column: str, i: int) -> Column:
+    return F.get(column, F.col("at") + i)
 
-    Shifted copies of the words are zipped and unrolled, so that hashing a window
-    and probing the join stay in generated code.
+
+def form(kind: int, i: int) -> Column:
+    """Word i of the window at ``at`` in one form."""
+    if kind == PLAIN:
+        return at("w", i)
+    return at("t", i) if kind == NAMED else F.when(at("t", i) == NAME, at("w", i)).otherwise(at("t", i))
+
+
+def windows(df: DataFrame, size: int, *kinds: int) -> DataFrame:
+    """Each window of a size of rows with words w and template t: at, and its hash by each kind as h0, h1 ...
+
+    Only places are unrolled and words taken by place, so that hashing a window and
+    probing the join stay in generated code.
     """
     n = F.size("t") - size + 1
-    shifted = [F.slice(c, F.lit(i + 1), n).alias(f"{c}{i}") for c in ("t", "w") for i in range(size)]
-    rest = [c for c in df.columns if c not in ("t", "w")]
-    each = df.filter(F.size("t") >= size).select(*rest, F.inline(F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("at"), *shifted)))
-    return each.withColumn("window", F.xxhash64(*(f"t{i}" for i in range(size))))
+    each = df.withColumn("at", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1)))).filter(F.col("at").isNotNull())
+    return each.withColumns({f"h{k}": F.xxhash64(*(form(k, i) for i in range(size))) for k in kinds})
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
-    """item_id, n_windows, size, item_at, window, item_words, item_template for each window of each item."""
+    """item_id, n_windows, size, item_at, form, window, item_words, item_template for each form of each window of each item."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), words(text).alias("w"), template(text).alias("t"))
     items = items.withColumn("size", F.least(F.lit(window), F.size("t"))).withColumn("n_windows", F.size("t") - F.col("size") + 1)
     # A capitalised first word is a word in the item and a name in a document that puts it after another word.
     opens = items.filter(F.regexp_like(F.trim("text"), F.lit(r"^\p{Lu}\p{L}*+(?![\p{N}])")))
     opens = opens.withColumns({"w": F.slice("w", F.lit(1), F.col("size")), "t": F.concat(F.array(F.lit(NAME)), F.slice("t", F.lit(2), F.col("size") - 1))})
-    items = items.unionByName(opens)
-    sized = [windows(items.filter(F.col("size") == k), k).select("item_id", "n_windows", "size", F.col("at").alias("item_at"), "window", F.array(*(f"w{i}" for i in range(k))).alias("item_words"), F.array(*(f"t{i}" for i in range(k))).alias("item_template")) for k in range(1, window + 1)]
-    return reduce(DataFrame.unionByName, sized)
+    items = items.withColumn("head", F.lit(False)).unionByName(opens.withColumn("head", F.lit(True)))
+
+    def sized(k: int) -> DataFrame:
+        each = windows(items.filter(F.col("size") == k), k, *KINDS)
+        forms = F.array(*(F.struct(F.lit(kind).alias("form"), F.col(f"h{kind}").alias("window"), F.array(*(form(kind, i) for i in range(k))).alias("item_template")) for kind in KINDS))
+        each = each.select("item_id", "n_windows", "size", "head", F.col("at").alias("item_at"), F.array(*(at("w", i) for i in range(k))).alias("item_words"), F.inline(forms))
+        return each.filter(~F.col("head") | (F.col("form") == NAMED)).drop("head")
+
+    return reduce(DataFrame.unionByName, map(sized, range(1, window + 1)))
+
+
+def hashes(kinds: Sequence[int]) -> Column:
+    """The distinct ones of h0, h1 ... as an array; where all are equal, without a search for the others."""
+    columns = [F.col(f"h{k}") for k in kinds]
+    same = reduce(Column.__and__, [a == b for a, b in pairwise(columns)])
+    return F.when(same, F.array(columns[0])).otherwise(F.array_distinct(F.array(*columns)))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
@@ -93,22 +122,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), template(F.col("text")).alias("t"))
     found = None
     for size in sizes:
-        each = windows(rows, size).withColumnRenamed("at", "doc_at")
+        each = windows(rows, size, *KINDS)
+        each = each.withColumn("window", F.explode_outer(hashes(KINDS)))
         mine = items.filter(F.col("size") == size)
         met = each.join(F.broadcast(mine) if bounded else mine, "window")
-        met = met.filter((F.col("item_at") > 0) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == F.col("w0")))
-        met = met.select("doc_id", "text_hash", "item_id", "n_windows", "item_at", "doc_at", "item_template", "item_words", F.array(*(f"w{i}" for i in range(size))).alias("doc_words"))
+        met = met.filter(reduce(Column.__or__, [(F.col("form") == k) & (F.col("window") == F.col(f"h{k}")) for k in KINDS]))
+        met = met.filter((F.col("item_at") > 0) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == at("w", 0)))
+        met = met.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", F.col("at").alias("doc_at"), "item_template", "item_words", F.array(*(at("w", i) for i in range(size))).alias("doc_words"))
         found = met if found is None else found.unionByName(met)
     if found is None:
         return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows int, n_matched int, coverage double, n_slots int, same_values boolean")
     slots = F.filter(F.arrays_zip(F.col("item_template").alias("type"), F.col("item_words").alias("item"), F.col("doc_words").alias("doc")), lambda x: x["type"].isin(NUMBER, NAME, UNIT))
-    found = found.select("doc_id", "text_hash", "item_id", "n_windows", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), slots.alias("slots"))
-    # One alignment has a row for each window of its item at most.
-    aligned = found.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    found = found.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), slots.alias("slots"))
+    # One alignment has a row for each form of each window of its item at most.
+    aligned = found.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset", "form").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     n = F.size("slots")
     one_to_one = (n == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["type"], x["item"]))))) & (n == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["type"], x["doc"])))))
     same = F.forall("slots", lambda x: x["item"] == x["doc"])
-    one = aligned.filter(one_to_one).select("doc_id", "text_hash", "item_id", "n_windows", F.explode("at").alias("at"), n.alias("n_slots"), same.alias("same"))
+    judged = aligned.select("doc_id", "text_hash", "item_id", "n_windows", "offset", F.when(one_to_one, F.col("at")).otherwise(F.array().cast("array<int>")).alias("at"), F.when(one_to_one, n).otherwise(0).alias("n_slots"), same.alias("same"))
+    # Forms of one alignment add up; its values are the same if they are in every form.
+    one = judged.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset").agg(F.flatten(F.collect_list("at")).alias("at"), F.max("n_slots").alias("n_slots"), F.min("same").alias("same"))
+    one = one.select("doc_id", "text_hash", "item_id", "n_windows", F.explode("at").alias("at"), "n_slots", "same")
     each = one.groupBy("doc_id", "text_hash", "item_id", "n_windows").agg(F.count_distinct("at").cast("int").alias("n_matched"), F.max("n_slots").alias("n_slots"), F.max("same").alias("same_values"))
     return each.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= coverage).select("doc_id", "text_hash", "item_id", "n_windows", "n_matched", "coverage", "n_slots", "same_values")
 

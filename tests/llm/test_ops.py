@@ -269,6 +269,15 @@ def test_decontamination(spark):
     assert decontamination.decontaminate(docs, items).count() == len(EDGES) + 1
 
 
+def test_decontamination_in_other_case_and_lines(spark):
+    text = "La doesbo dora el es, queasar mente, cion asesrr nos ueos ueie, oses gaiedo, esci llar osn que and gave 5 km to Anna, so how many"
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    docs = [(1, text.upper()), (2, text.lower()), (3, text.title()), (4, text.replace(" ", "\n")), (5, text.upper().replace("5", "7")), (6, text.replace(" ", " \u00a0\r\n").replace("Anna", "Mary").replace("5", "7")), (7, text.upper()[:40])]
+    rows = {x["doc_id"]: x for x in decontamination.leaks(frame(spark, docs), items).collect()}
+    assert {k: x["same_values"] for k, x in rows.items()} == {1: True, 2: True, 3: True, 4: True, 5: False, 6: False}
+    assert all(x["coverage"] == 1 for x in rows.values())
+
+
 def brute_leaks(docs, items, window=8, coverage=0.8):
     """Pairs (document's place, item) by comparing every window with every window."""
     import regex
