@@ -5,7 +5,9 @@ without overlap; a validator (octets, Luhn, digit counts, ISO 7064 mod-97)
 confirms or drops them. A span's score is that of its kind, raised if a word that
 goes with the kind stands within ``CONTEXT`` characters before it. The four base
 kinds always stay; of the kinds added here (IBANs, secrets, short card numbers)
-those that score ``THRESHOLD`` stay.
+those that score ``THRESHOLD`` stay. An IBAN or a short card number may be followed by
+more groups of capitals or digits: it ends at the group where its checksum holds, an
+IBAN at its country's length if it holds there, else at the last one.
 
 Java's matcher recurses on repeated groups, so a very long run would overflow
 its stack. Separators inside runs are therefore first replaced one for one by
@@ -37,6 +39,27 @@ WORDS = {
     "secret": "login|user|key|config",
     "short_card": "card|amex|diners|credit|debit|account",
 }
+#: Characters of an IBAN by country; for others any length that passes.
+IBAN_LENGTHS = {
+    **dict.fromkeys("NO".split(), 15),
+    **dict.fromkeys("BE BI".split(), 16),
+    **dict.fromkeys("DK FI FK FO GL NL SD".split(), 18),
+    **dict.fromkeys("MK SI".split(), 19),
+    **dict.fromkeys("AT BA EE KZ LT LU MN XK".split(), 20),
+    **dict.fromkeys("CH CR HR LI LV".split(), 21),
+    **dict.fromkeys("BG BH DE GB GE IE ME RS VA".split(), 22),
+    **dict.fromkeys("AE GI IL IQ OM SO TL".split(), 23),
+    **dict.fromkeys("AD CZ ES MD PK RO SA SE SK TN VG".split(), 24),
+    **dict.fromkeys("LY PT ST".split(), 25),
+    **dict.fromkeys("IS TR".split(), 26),
+    **dict.fromkeys("DJ FR GR IT MC MR SM".split(), 27),
+    **dict.fromkeys("AL AZ BY CY DO GT HU LB NI PL SV".split(), 28),
+    **dict.fromkeys("BR EG PS QA UA".split(), 29),
+    **dict.fromkeys("JO KW MU".split(), 30),
+    **dict.fromkeys("MT SC".split(), 31),
+    "LC": 32,
+    "RU": 33,
+}
 GAP, DOT, OTHER = "\ue000", "\ue001", "\ue002"
 EMPTY = "array<struct<kind:string,start:long,end:long,found:string>>"
 
@@ -82,6 +105,61 @@ def mod97(s: Column) -> Column:
     return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), add) == 1
 
 
+def ended(x: Column, end: Column) -> Column:
+    """A span that ends after so many of its characters."""
+    return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), (x["start"] + end).alias("end"), F.substring(x["found"], F.lit(1), end).alias("found"))
+
+
+def ibans(text: Column) -> Column:
+    """Confirmed IBANs: heads propose starts, also within what follows another; spans don't overlap."""
+    heads = proposals("iban", text, "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+    lengths = F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair))
+
+    def compact(s: Column) -> Column:
+        return F.regexp_replace(s, " ", "")
+
+    def whole(x: Column) -> Column:
+        # 34 characters at most, a blank between any two, and the one after.
+        piece = F.substring(text, (x["start"] + 1).cast("int"), F.lit(68))
+        run = F.regexp_extract(piece, "^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", 0)
+
+        def good(e: Column) -> Column:
+            last, after, found = F.substring(run, e, F.lit(1)), F.substring(piece, e + 1, F.lit(1)), compact(F.substring(run, F.lit(1), e))
+            return (last != " ") & ~F.regexp_like(after, F.lit("[A-Za-z0-9]")) & (F.length(found) >= 15) & mod97(found)
+
+        ends = F.when(F.length(run) >= 15, F.filter(F.sequence(F.lit(15), F.length(run)), good)).otherwise(F.array().cast("array<int>"))
+        own = F.filter(ends, lambda e: F.length(compact(F.substring(run, F.lit(1), e))) == F.try_element_at(lengths, F.substring(run, F.lit(1), F.lit(2))))
+        end = F.coalesce(F.array_max(own), F.array_max(ends))
+        return ended(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), run.alias("found")), end)
+
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(EMPTY).alias("out"))
+
+    def step(acc: Column, x: Column) -> Column:
+        keep = x["end"].isNotNull() & (x["start"] >= acc["at"])
+        return F.struct(F.when(keep, x["end"]).otherwise(acc["at"]).alias("at"), F.when(keep, F.concat(acc["out"], F.array(x))).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(F.transform(heads, whole), start, step, lambda acc: acc["out"])
+
+
+def short_cards(gaps: Column, low: int = 13, high: int = 15) -> Column:
+    """Confirmed runs of so many digits, whole or the leading groups of a run that is no card itself."""
+    runs = proposals("short_card", gaps, f"(?<!{RUN}){RUN}{{{low},}}+")
+
+    def end(x: Column) -> Column:
+        def good(e: Column) -> Column:
+            d = digits(F.substring(x["found"], F.lit(1), e))
+            return F.substring(x["found"], e + 1, F.lit(1)).isin("", GAP) & F.length(d).between(low, high) & luhn(d)
+
+        return F.array_max(F.filter(F.sequence(F.lit(low), F.least(F.length(x["found"]), F.lit(2 * high - 1))), good))
+
+    def card(x: Column) -> Column:
+        d = digits(x["found"])
+        return F.length(d).between(16, 19) & luhn(d)
+
+    found = F.transform(F.filter(runs, lambda x: ~card(x)), lambda x: ended(x, end(x)))
+    return F.filter(found, lambda x: x["end"].isNotNull())
+
+
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 RUN = f"[0-9{GAP}]"
 LOCAL = f"[A-Za-z0-9._%+{DOT}-]"
@@ -107,9 +185,9 @@ def confirmed(text: Column) -> dict[str, Column]:
         "ip": F.when(text.rlike(r"[0-9]\.[0-9]"), F.filter(proposals("ip", text, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"), lambda x: x["found"].rlike(rf"^{OCTET}(?:\.{OCTET}){{3}}$"))).otherwise(none),
         "card": run("card", 16, 19),
         "phone": F.when(F.instr(text, "+") > 0, F.filter(proposals("phone", text, r"\+[0-9][ ().0-9-]+[0-9]"), lambda x: F.length(digits(x["found"])).between(8, 15))).otherwise(none),
-        "iban": F.when(text.rlike("[A-Z]{2}[0-9]{2} ?[A-Z0-9]"), F.filter(proposals("iban", text, "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])"), lambda x: mod97(F.regexp_replace(x["found"], " ", "")))).otherwise(none),
+        "iban": F.when(text.rlike("[A-Z]{2}[0-9]{2} ?[A-Z0-9]"), ibans(text)).otherwise(none),
         "secret": F.when(text.rlike("(?i)password|passwd|secret|token|api[_-]?key|AKIA"), proposals("secret", text, r"(?i)\b(?:password|passwd|secret|token|api[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?[A-Za-z0-9_+/=-]{8,}|\bAKIA[A-Z0-9]{16}\b")).otherwise(none),
-        "short_card": run("short_card", 13, 15),
+        "short_card": F.when(long_run, short_cards(gaps)).otherwise(none),
     }
 
 

@@ -179,6 +179,23 @@ def test_personal_data(spark):
     assert [x["text"] for x in clean] == ["mail <EMAIL> now, card <CARD>!", None]
 
 
+def test_personal_data_followed_by_more_groups(spark):
+    texts = {
+        "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": ["DE89 3704 0044 0532 0130 00"],
+        "DE89370400440532013000 EUR 50": ["DE89370400440532013000"],
+        "DE89370400440532013000 I think": ["DE89370400440532013000"],
+        "REF AB12 DE89 3704 0044 0532 0130 00 GB29 NWBK 6016 1331 9268 19 OK": ["DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19"],
+        "DE89370400440532013000x, DE88 3704 0044 0532 0130 00 EUR": [],
+        "amex 3782 822463 10005 12 27": ["3782 822463 10005"],
+        "amex 378282246310005": ["378282246310005"],
+        "amex 3782 822463 10006 12 27, 3782822463100051227": [],
+        "card 4111 1111 1111 1111": [],
+    }
+    rows = personal_data.find_personal_data(frame(spark, list(enumerate(texts)))).collect()
+    got = {x["text"]: [x["text"][s["start"] : s["end"]] for s in x["personal_data"] if s["kind"] in ("iban", "short_card")] for x in rows}
+    assert got == texts
+
+
 def tokenizer():
     public = pytest.importorskip("public_tokenizers")
     return public.path("word_bpe_49k.json"), public.path("piece_bpe_32k.model")
