@@ -4,9 +4,10 @@ DataFrame functions only. A text becomes words (runs of letters and digits, in
 lower case) and a template of as many places, in which whole numbers, names
 (capitalised words after a lower-case word or a comma) and units (after a number)
 are placeholders of their type. Windows of ``WINDOW`` words of documents and
-benchmark items are hash-joined in each of three forms: the plain words, with
-numbers and units as placeholders, and with names too, so that a text in other
-letter case is found as well. Matches of a document and an item in one form on one
+benchmark items are hash-joined in each of four forms: the plain words, with
+numbers and units as placeholders, with names too, and with words that open a
+sentence as names too (two different ones only if neither is of ``OPENERS``), so that
+a text in other letter case or with another name there is found as well. Matches of a document and an item in one form on one
 diagonal (equal offset) are one alignment; it counts if its slots are consistent:
 the item's values and the document's map one to one, so a question asked again
 with other numbers or names is found, and scattered lookalikes are not. A pair is
@@ -36,26 +37,35 @@ WINDOW, COVERAGE = 8, 0.8
 BROADCAST_WINDOWS = 1_000_000
 #: Leaking rows of up to this many, some 30 MB, are removed by a broadcast.
 BROADCAST_ROWS = 1_000_000
-#: What a window is hashed by: plain words, numbers and units as placeholders, names too.
-KINDS = PLAIN, COUNTED, NAMED = range(3)
+#: What a window is hashed by: plain words, numbers and units as placeholders, names too, words that open a sentence as names too.
+KINDS = PLAIN, COUNTED, NAMED, OPENED = range(4)
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
+#: A capitalised word that opens a sentence: a word, or in the form OPENED a name.
+OPEN = "\ue003"
+#: Words that open sentences and are no names, of English, Spanish, French and German.
+OPENERS = """a an and are as at be but by can did do does each for from had has have he her here his how i if in is it its many most my no not now of on one or our she
+so some than that the their then there these they this those to was we were what when where which who whose why will with would you your
+como cual cuando cuanto de del donde el ella en es la las lo los para pero por que quien se si su un una y
+au aux ce ces combien comment dans des elle est et il ils je le les mais nous ou par pas pour quand quel quelle qui sur une vous
+aber auf das dem den der die ein eine er es für ich im in ist mit nicht oder sie sind und von wann war warum was welche wer wie wir wo zu""".split()
 UNITS = "km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|s|sec|min|h|hr|hrs|mph|usd|eur|gbp|dollars|euros|pounds|cents|percent|meters|metres|kilometers|kilometres|miles|feet|inches|liters|litres|grams|kilograms|hours|minutes|seconds|days|weeks|months|years"
 
 
 def words(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    clean = F.translate(text, NUMBER + NAME + UNIT, "   ")
+    clean = F.translate(text, NUMBER + NAME + UNIT + OPEN, "    ")
     return parts(F.regexp_replace(clean, r"[^\p{L}\p{N}]+", " "))
 
 
 def template(text: Column) -> Column:
-    """As words(), with placeholders in place of numbers, names and units."""
-    t = F.translate(text, NUMBER + NAME + UNIT, "   ")
+    """As words(), with placeholders in place of numbers, names, units and words that open a sentence."""
+    t = F.translate(text, NUMBER + NAME + UNIT + OPEN, "    ")
     t = F.regexp_replace(t, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[0-9]++(?![\p{L}\p{N}])", NUMBER)
     t = F.regexp_replace(t, rf"(?i)(?<={NUMBER} )(?:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
     t = F.regexp_replace(t, r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", NAME)
-    return parts(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}]+", " "))
+    t = F.regexp_replace(t, r"((?:^|[.!?:…][\"'”’»)\]]{0,2}) ?[\"'“‘«(\[¿¡]{0,2})\p{Lu}\p{L}*+(?![\p{N}])", "$1" + OPEN)
+    return parts(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}{OPEN}]+", " "))
 
 
 def parts(text: Column) -> Column:
@@ -70,7 +80,9 @@ def form(kind: int, i: int) -> Column:
     """Word i of the window at ``at`` in one form."""
     if kind == PLAIN:
         return at("w", i)
-    return at("t", i) if kind == NAMED else F.when(at("t", i) == NAME, at("w", i)).otherwise(at("t", i))
+    if kind == OPENED:
+        return F.when(at("t", i) == OPEN, NAME).otherwise(at("t", i))
+    return F.when(at("t", i).isin([OPEN] if kind == NAMED else [OPEN, NAME]), at("w", i)).otherwise(at("t", i))
 
 
 def windows(df: DataFrame, size: int, *kinds: int) -> DataFrame:
@@ -127,15 +139,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
         mine = items.filter(F.col("size") == size)
         met = each.join(F.broadcast(mine) if bounded else mine, "window")
         met = met.filter(reduce(Column.__or__, [(F.col("form") == k) & (F.col("window") == F.col(f"h{k}")) for k in KINDS]))
-        met = met.filter((F.col("item_at") > 0) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == at("w", 0)))
+        met = met.filter((F.col("item_at") > 0) | (F.col("form") == OPENED) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == at("w", 0)))
         met = met.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", F.col("at").alias("doc_at"), "item_template", "item_words", F.array(*(at("w", i) for i in range(size))).alias("doc_words"))
         found = met if found is None else found.unionByName(met)
     if found is None:
         return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows int, n_matched int, coverage double, n_slots int, same_values boolean")
     slots = F.filter(F.arrays_zip(F.col("item_template").alias("type"), F.col("item_words").alias("item"), F.col("doc_words").alias("doc")), lambda x: x["type"].isin(NUMBER, NAME, UNIT))
-    found = found.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), slots.alias("slots"))
+    no_name = F.exists(slots, lambda x: (x["type"] == NAME) & (x["item"] != x["doc"]) & (x["item"].isin(OPENERS) | x["doc"].isin(OPENERS)))
+    # A flag, since a filter would be pushed to the join and leave generated code with whole documents in each row.
+    counts = (F.col("form") != OPENED) | (~no_name & (F.size(slots) < F.size("item_template")))
+    found = found.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), slots.alias("slots"), counts.alias("counts"))
     # One alignment has a row for each form of each window of its item at most.
-    aligned = found.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset", "form").agg(F.collect_set("item_at").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    aligned = found.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset", "form").agg(F.collect_set(F.when(F.col("counts"), F.col("item_at"))).alias("at"), F.array_distinct(F.flatten(F.collect_set(F.when(F.col("counts"), F.col("slots"))))).alias("slots"))
     n = F.size("slots")
     one_to_one = (n == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["type"], x["item"]))))) & (n == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["type"], x["doc"])))))
     same = F.forall("slots", lambda x: x["item"] == x["doc"])

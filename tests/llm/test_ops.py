@@ -295,6 +295,14 @@ def test_decontamination_in_other_case_and_lines(spark):
     assert all(x["coverage"] == 1 for x in rows.values())
 
 
+def test_decontamination_of_names_that_open_sentences(spark):
+    text = "Tom had 12 apples and put all of them into the basket. Anna gave 7 of her own apples to the boy and then took the rest of them home"
+    items = spark.createDataFrame([(1, text), (2, "Anna saw 9 of the red birds fly by"), (3, "Anna saw 9 birds"), (4, "What is it about?")], "item_id long, text string")
+    docs = [(1, text.replace("Anna", "Mary")), (2, "It rained. Omar saw 8 of the red birds fly by"), (3, "It rained. Omar saw 8 birds"), (4, "That is it about."), (5, text.replace("Anna", "Mary").replace("7", "12"))]
+    got = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(frame(spark, docs), items).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3)}
+
+
 def brute_leaks(docs, items, window=8, coverage=0.8):
     """Pairs (document's place, item) by comparing every window with every window."""
     import regex
