@@ -8,17 +8,26 @@ equal bits to find them, so the trees are sharded by minima instead:
 1. Equal shingle sets are one node. A node's fingerprint counts each distinct
    shingle once, so that its distance follows the similarity, and its bands are
    ``BANDS`` values of ``ROWS`` minima each of the shingles under fixed mixings.
-   At 0.8 two nodes share a band with probability 0.998, and are within
-   ``RADIUS`` bits with probability 0.999; closer texts are missed less.
+   At 0.8 two nodes share a band with probability 0.998; they are within
+   ``RADIUS`` bits with probability 0.999, or 0.995 for texts of four or five
+   shingles. Closer texts are missed less.
 2. Each band's value is a shard with a BK-tree of its fingerprints. Links within
-   the radius give groups of possible near copies, of thin rows only.
+   the radius give groups of possible near copies, of thin rows only. A shard of
+   more than ``SHARD_NODES`` fingerprints is one group as it is.
 3. Each group's shingle sets meet once, in trees again, and fingerprints within
    the radius are compared exactly. Verified links give the classes.
 
 A tree remembers which subtrees lie in one class as a whole and skips them for
-members of that class, so a group of thousands of copies costs no pairs. Groups
-of more than ``TREE_NODES`` members or ``TREE_SHINGLES`` shingles are dealt to
-several trees, which later members query, as in ``simhash``.
+members of that class, so a group of thousands of copies costs no pairs. A group
+of more than ``TREE_NODES`` nodes or ``TREE_SHINGLES`` shingles is first rid of the
+nodes that can't be similar to any other, since too many of their shingles occur in
+no other node of the group; that counts shingles, not pairs. The rest is dealt to several
+trees, ``ROUNDS`` times by other hashes; links inside these trees show which nodes
+are of one class. Only nodes outside their group's largest class then query
+all of the group, in trees of ``WIDER`` times the nodes and in pieces of as many
+queries. No link is lost, and no row is sent for pairs within the largest class;
+nodes of smaller classes that could still be similar to some other are what costs
+rows by their number times that of trees.
 
 Texts without words (nulls too) are one node; nodes are told apart by 64-bit
 hashes of their sets. Null ids sort first, repeated rows count once, and other
@@ -28,6 +37,7 @@ columns are kept as they are. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +46,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sokhan.llm.common import by_batch, partitions, prepare, utf8
-from sokhan.llm.simhash import BKTree, components, dealt_links, fingerprint, shingle_hashes, tree_links, TREE_NODES
+from sokhan.llm.simhash import BKTree, components, fingerprint, shingle_hashes, signed, tree_links
 
 ROWS, BANDS, RADIUS = 4, 12, 20
-TREE_SHINGLES = 4_000_000
+#: Nodes of a shard's tree, nodes and shingles of a group's tree.
+SHARD_NODES, TREE_NODES, TREE_SHINGLES = 4096, 128, 1_000_000
+#: Times that a large group is dealt to trees, and how much wider the trees are that its last queries meet.
+ROUNDS, WIDER = 3, 6
 #: Parts of a group where its rows meet its size.
 SALTS = 16
 #: Odd factors and masks that mix a shingle's hash, the same in every process.
@@ -60,11 +73,7 @@ def bands(shingles: np.ndarray) -> list[int]:
     for i in range(0, len(shingles), 2048):
         mixed = (shingles[i : i + 2048, None] ^ _MASK) * _FACTOR
         np.minimum(least, mixed.min(axis=0), out=least)
-    return [_signed(xxhash.xxh64_intdigest(row.tobytes())) for row in least.reshape(BANDS, ROWS)]
-
-
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+    return [signed(xxhash.xxh64_intdigest(row.tobytes())) for row in least.reshape(BANDS, ROWS)]
 
 
 class ClassTree(BKTree):
@@ -156,38 +165,41 @@ def nodes_of(thin: DataFrame, shingle: int, seed: int) -> DataFrame:
         rows = []
         for text in utf8(batch.column("text")):
             s = shingle_set(text, shingle, seed)
-            rows.append((_signed(xxhash.xxh64_intdigest(s.tobytes())), fingerprint(s), len(s), bands(s)))
+            rows.append((signed(xxhash.xxh64_intdigest(s.tobytes())), fingerprint(s), len(s), bands(s)))
         return {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash")} | {c: [r[k] for r in rows] for k, c in enumerate(out.names[2:])}
 
     return by_batch(thin, run, schema, out)
 
 
+def sized(rows: DataFrame, group: list[str], by: str, weight: str | None = None) -> DataFrame:
+    """Rows of groups of several with the group's number of rows n and its sum of weights w.
+
+    A large group's rows are dealt over tasks by a salt, each of which meets a copy of the group's one row of sizes.
+    """
+    sizes = rows.groupBy(*group).agg(F.count("*").alias("n"), (F.sum(weight) if weight else F.lit(0)).alias("w")).filter("n > 1")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(by, F.lit(2)), F.lit(SALTS)).cast("int"))
+    return salted.join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [*group, "salt"]).drop("salt")
+
+
 def candidate_groups(nodes: DataFrame, radius: int) -> DataFrame:
-    """fp and group of the fingerprints that a chain of links within the radius connects."""
-    keyed = nodes.select("fp", F.posexplode("bands").alias("pair", "value")).distinct()
+    """fp and group of the fingerprints that a chain of links within the radius, or of large shards, connects."""
+    keyed = sized(nodes.select("fp", F.posexplode("bands").alias("pair", "value")).distinct(), ["pair", "value"], "fp").checkpoint()
     mask = (1 << 64) - 1
 
     def linker(members: list[tuple], queries: Iterator[tuple]) -> Iterator[tuple[int, int]]:
         plain = [(x & mask,) for (x,) in members]
         for (a,), (b,) in class_links(plain, ((x & mask,) for (x,) in queries), radius, lambda a, b: True):
-            yield _signed(a), _signed(b)
+            yield signed(a), signed(b)
 
-    return components(dealt_links(keyed, linker)).select(F.col("node").alias("fp"), F.col("root").alias("group"))
+    large = keyed.filter(F.col("n") > SHARD_NODES)
+    hubs = large.groupBy("pair", "value").agg(F.min("fp").alias("v"))
+    chained = large.join(hubs.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), [large["pair"] == hubs["pair"], large["value"] == hubs["value"], F.pmod(F.xxhash64("fp"), F.lit(SALTS)) == F.col("at")]).select(F.col("fp").alias("u"), "v")
+    near = tree_links(keyed.filter(F.col("n") <= SHARD_NODES).withColumn("query", F.lit(False)), ["pair", "value"], ["fp"], linker)
+    return components(near.unionByName(chained)).select(F.col("node").alias("fp"), F.col("root").alias("group"))
 
 
-def dealt_groups(nodes: DataFrame) -> DataFrame:
-    """Nodes (group, n_shingles ...) of groups of several, with a tree of their own and the group's number of trees."""
-    sizes = nodes.groupBy("group").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("all_shingles")).filter("n > 1")
-    trees = F.ceil(F.greatest(F.col("n") / TREE_NODES, F.col("all_shingles") / TREE_SHINGLES)).cast("int")
-    # A large group's rows are dealt over tasks by a salt, each of which meets a copy of the group's one row of sizes.
-    salted = nodes.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
-    met = salted.join(sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["group", "salt"])
-    return met.withColumn("trees", trees).withColumn("tree", F.pmod(F.xxhash64("node"), "trees").cast("int")).drop("n", "all_shingles", "salt")
-
-
-def verified_links(sets: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """Links (u, v) of nodes in rows (group, node, fp, tree, trees, shingles), by exact similarity."""
-    rows = sets.select("group", "fp", "node", "shingles", "tree", F.explode(F.sequence(F.col("tree"), F.col("trees") - 1)).alias("at")).withColumn("query", F.col("at") != F.col("tree"))
+def verified_links(thin: DataFrame, attach: Callable[[DataFrame], DataFrame], radius: int, similarity: float) -> DataFrame:
+    """Links (u, v) of nodes in thin rows (group, node, fp, n, w), by exact similarity; attach adds their shingles."""
     mask = (1 << 64) - 1
 
     def same(a: tuple, b: tuple) -> bool:
@@ -204,7 +216,55 @@ def verified_links(sets: DataFrame, radius: int, similarity: float) -> DataFrame
         for a, b in class_links([item(m) for m in members], map(item, queries), radius, same):
             yield a[1], b[1]
 
-    return tree_links(rows, ["group", "at"], ["fp", "node", "shingles"], linker)
+    def linked(rows: DataFrame) -> DataFrame:
+        return tree_links(rows, ["group", "tree", "piece"], ["fp", "node", "shingles"], linker)
+
+    def trees(nodes: int) -> Column:
+        return F.ceil(F.greatest(F.col("n") / nodes, F.col("w") / (TREE_SHINGLES * nodes // TREE_NODES))).cast("int")
+
+    def tree(seed: int, n: Column) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
+
+    alone = {"tree": F.lit(0), "piece": F.lit(0), "query": F.lit(False)}
+    small = linked(attach(thin.filter(trees(TREE_NODES) == 1)).withColumns(alone))
+    large = thin.filter(trees(TREE_NODES) > 1)
+    if large.isEmpty():
+        return small
+    sets = possible(attach(large).drop("n", "w").checkpoint(), similarity)
+    sets = sized(sets, ["group"], "node", "n_shingles").checkpoint()
+    dealt = [linked(sets.withColumns(alone | {"tree": tree(k, trees(TREE_NODES))})) for k in range(ROUNDS)]
+    made = reduce(DataFrame.unionByName, [small, *dealt]).checkpoint()
+    # Nodes by class so far: those outside their group's largest class meet all of the group.
+    ids = sets.select("group", "node").join(components(made), "node", "left").select("group", "node", F.coalesce("root", "node").alias("class"))
+    counts = ids.groupBy("group", "class").agg(F.count("*").alias("k"))
+    largest = counts.groupBy("group").agg(F.max(F.struct("k", "class")).alias("top"), F.sum("k").alias("all")).select("group", F.col("top.class").alias("most"), (F.col("all") - F.col("top.k")).alias("others")).filter("others > 0")
+    apart = ids.join(largest, "group").select("node", (F.col("class") != F.col("most")).alias("other"), "others")
+    wide = trees(WIDER * TREE_NODES)
+    met = sets.join(apart, "node").withColumns({"trees": wide, "pieces": F.ceil(F.col("others") / (WIDER * TREE_NODES)).cast("int")}).checkpoint()
+    names = ["group", "tree", "piece", "query", "fp", "node", "shingles"]
+    members = met.withColumns({"tree": tree(0, F.col("trees")), "piece": F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)), "query": F.lit(False)})
+    asked = met.filter("other").withColumns({"tree": F.explode(F.sequence(F.lit(0), F.col("trees") - 1)), "piece": tree(ROUNDS, F.col("pieces")), "query": F.lit(True)})
+    return made.unionByName(linked(members.select(*names).unionByName(asked.select(*names))))
+
+
+def possible(sets: DataFrame, similarity: float) -> DataFrame:
+    """Rows (group, node, shingles, n_shingles) without those that are similar to no other of their group.
+
+    A node shares at least ``similarity`` of its shingles with one that is similar to it,
+    so as many occur in other nodes; shingles that occur in one node only are counted.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, node, shingles in zip(*(batch.column(c).to_pylist() for c in ("group", "node", "shingles")), strict=True):
+                for at in range(0, len(shingles), 8 << 16):
+                    s = np.frombuffer(shingles[at : at + (8 << 16)], np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), group)), pa.array(np.full(len(s), node)), pa.array(s)], ["group", "node", "s"])
+
+    each = sets.select("group", "node", "shingles").mapInArrow(run, "group long, node long, s long")
+    only = each.groupBy("group", "s").agg(F.count("*").alias("c"), F.min("node").alias("node")).filter("c = 1").groupBy("node").agg(F.count("*").alias("only"))
+    shared = F.col("n_shingles") - F.coalesce("only", F.lit(0))
+    return sets.join(only, "node", "left").filter(shared >= F.col("n_shingles") * F.lit(similarity) - 1e-9).drop("only")
 
 
 def classes(df: DataFrame, shingle: int, similarity: float, radius: int, seed: int, id_col: str, text_col: str) -> DataFrame:
@@ -216,18 +276,20 @@ def classes(df: DataFrame, shingle: int, similarity: float, radius: int, seed: i
     # One row stands for a node; ids and hashes of the rest are not needed to link.
     stands = F.min(F.struct("doc_id", "text_hash", "fp", "n_shingles", "bands")).alias("k")
     nodes = prints.groupBy("node").agg(stands).select("node", "k.*").checkpoint()
-    grouped = nodes.join(candidate_groups(nodes, radius), "fp", "left").withColumn("group", F.coalesce("group", "fp"))
-    names = ["group", "node", "fp", "tree", "trees"]
-    wanted = dealt_groups(grouped.drop("bands")).select(key(F.col("doc_id"), F.col("text_hash")), *names).checkpoint()
-    # Only texts of groups of several are read again; equal rows stand for the same node.
-    met = thin.select(key(F.col("doc_id"), F.col("text_hash")), "text").join(wanted, "_key").dropDuplicates(["_key"])
+    grouped = nodes.drop("bands").join(candidate_groups(nodes, radius), "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    names = {"group": "long", "node": "long", "fp": "long", "n_shingles": "long", "n": "long", "w": "long"}
+    wanted = sized(grouped, ["group"], "node", "n_shingles").select(key(F.col("doc_id"), F.col("text_hash")), *(F.col(c).cast(t) for c, t in names.items())).checkpoint()
+    out = pa.schema([(c, pa.int64()) for c in names] + [("shingles", pa.binary())])
 
     def run(batch: pa.RecordBatch) -> dict[str, list]:
         return {c: batch.column(c) for c in names} | {"shingles": [shingle_set(t, shingle, seed).tobytes() for t in utf8(batch.column("text"))]}
 
-    out = pa.schema([(c, pa.int64() if k < 3 else pa.int32()) for k, c in enumerate(names)] + [("shingles", pa.binary())])
-    sets = by_batch(met.select(*names, "text"), run, "group long, node long, fp long, tree int, trees int, shingles binary", out)
-    linked = components(verified_links(sets, radius, similarity))
+    def attach(rows: DataFrame) -> DataFrame:
+        # Only texts of groups of several are read again; equal rows stand for the same node.
+        met = thin.select(key(F.col("doc_id"), F.col("text_hash")), "text").join(rows, "_key").dropDuplicates(["_key"])
+        return by_batch(met.select(*names, "text"), run, ", ".join(f"{c} {t}" for c, t in names.items()) + ", shingles binary", out)
+
+    linked = components(verified_links(wanted, attach, radius, similarity))
     return prints.join(linked, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
 
 
@@ -235,6 +297,6 @@ def keep_one(df: DataFrame, shingle: int = 5, similarity: float = 0.8, radius: i
     """All columns of one row of each class: that of the smallest id (nulls first), then text hash."""
     named = classes(df, shingle, similarity, radius, seed, id_col, text_col)
     chosen = named.groupBy("root").agg(F.min(key(F.col("doc_id"), F.col("text_hash"))).alias("_key")).select("_key")
-    rows = df.withColumn("_key", key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
+    rows = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), key(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))))
     # The join and what drops repeated rows share one exchange.
-    return rows.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+    return rows.join(chosen, "_key", "left_semi").dropDuplicates(["_key"]).select("row.*")

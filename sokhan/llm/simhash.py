@@ -11,9 +11,12 @@ size would follow the data, so trees are sharded: the bits are cut into
 ``radius + 2`` blocks, and two fingerprints within the radius agree in at least
 two of them, so a shard is a pair of blocks with their values. Shards meet their
 queries by one exchange in place of a broadcast. A shard of more than
-``TREE_NODES`` fingerprints is dealt to several trees by hash; its members query
-each of them, so that no task holds more than one such tree. A shard hands on a
-spanning set of links, at most one for each member and tree, not all pairs.
+``TREE_NODES`` fingerprints is dealt once more by its other bits: cut into
+``FINER * radius`` blocks, of which all but ``radius`` agree, each choice of
+these with its values is a smaller shard. At radius 2 that makes 28 rows of a
+fingerprint and at most 256 fingerprints in a tree, however large the first shard
+was, so rows grow linearly with it. A tree hands on a spanning set of links, at
+most one for each member, not all pairs.
 
 Equal fingerprints are one node, so exact copies cost nothing here. A text with
 no words has fingerprint zero and is linked like any other; null texts have no
@@ -25,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,8 @@ from pyspark.sql import functions as F
 from sokhan.llm.common import LOWER, by_batch, id_and_text, partitions, prepare, table, utf8
 
 TREE_NODES = 4096
+#: Blocks for each differing bit where a large shard is dealt again; choices of them at most.
+FINER, CHOICES = 4, 300
 #: From a tree's members and its queries to the links that connect them.
 Linker = Callable[[list[tuple], Iterator[tuple]], Iterator[tuple[int, int]]]
 
@@ -53,7 +59,9 @@ def fingerprint(hashes: np.ndarray) -> int:
     """As a signed 64-bit number."""
     if not len(hashes):
         return 0
-    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    bits = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        bits += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view(np.int64)[0])
 
 
@@ -127,40 +135,54 @@ def shard_links(members: list[int], queries: Iterator[int], radius: int) -> Iter
                 yield x, y
 
 
-def blocks(radius: int) -> list[tuple[int, int]]:
-    """(shift, bits) of radius + 2 blocks of 64 bits."""
-    n = radius + 2
-    cuts = [64 * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+def blocks(bits: list[int], n: int) -> list[int]:
+    """Masks of n blocks of some bits, as even as can be; none is empty."""
+    cuts = [len(bits) * i // n for i in range(n + 1)]
+    return [sum(1 << k for k in bits[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def shard_keys(fp: Column, radius: int) -> Column:
-    """The shards of a fingerprint: for each pair of blocks, the pair and the values."""
-    value = [F.shiftrightunsigned(fp, s).bitwiseAND(F.lit((1 << n) - 1).cast("long")) for s, n in blocks(radius)]
-    widths = [n for _, n in blocks(radius)]
-    return F.array(*(F.struct(F.lit(k).alias("pair"), F.shiftleft(value[i], widths[j]).bitwiseOR(value[j]).alias("value")) for k, (i, j) in enumerate(combinations(range(radius + 2), 2))))
+def signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
-def links(nodes: DataFrame, radius: int) -> DataFrame:
-    """Links (u, v) that connect the distinct fingerprints (fp) as all links within the radius do."""
-    keyed = nodes.select("fp", F.explode(shard_keys(F.col("fp"), radius)).alias("k")).select("fp", "k.pair", "k.value")
-    mask = (1 << 64) - 1
+def shard_masks(radius: int) -> tuple[list[int], list[list[int]]]:
+    """Masks of the shards' bits: of every pair of blocks, and for each of these the finer ones."""
+    pairs = [a | b for a, b in combinations(blocks(list(range(64)), radius + 2), 2)]
+    n = next((k for k in range(FINER * radius, radius, -1) if comb(k, radius) <= CHOICES), radius + 1)
+    finer = []
+    for mask in pairs:
+        rest = [k for k in range(64) if not mask >> k & 1]
+        few = blocks(rest, min(n, len(rest))) if rest else []
+        finer.append([mask | sum(c) for c in combinations(few, max(0, len(few) - radius))])
+    return [signed(m) for m in pairs], [[signed(m) for m in ms] for ms in finer]
+
+
+def keys(fp: Column, masks: Column) -> Column:
+    """Structs of a mask's number and the bits under it."""
+    return F.transform(masks, lambda m, k: F.struct(k.alias("mask"), fp.bitwiseAND(m).alias("bits")))
 
-    def linker(members: list[tuple], queries: Iterator[tuple]) -> Iterator[tuple[int, int]]:
-        for pair in shard_links([x & mask for (x,) in members], (x & mask for (x,) in queries), radius):
-            yield tuple(x - (1 << 64) if x >> 63 else x for x in pair)
 
-    return dealt_links(keyed, linker)
+def longs(values: list[int]) -> Column:
+    return F.array(*(F.lit(v).cast("long") for v in values)) if values else F.array().cast("array<bigint>")
 
 
-def dealt_links(keyed: DataFrame, linker: Linker) -> DataFrame:
-    """Links (u, v) of the trees of every shard (pair, value) of fingerprints (fp)."""
+def links(nodes: DataFrame, radius: int) -> DataFrame:
+    """Links (u, v) that connect the distinct fingerprints (fp) as all links within the radius do."""
+    pairs, finer = shard_masks(radius)
+    none = F.lit(-1)
+    keyed = nodes.select("fp", F.inline(keys(F.col("fp"), longs(pairs)))).withColumnsRenamed({"mask": "pair", "bits": "value"})
     sizes = keyed.groupBy("pair", "value").agg(F.count("*").alias("n")).filter("n > 1")
-    trees = F.ceil(F.col("n") / TREE_NODES).cast("int")
-    # Shards of one member drop out; a large shard's members go to their own tree and, as queries, to later ones.
-    dealt = keyed.join(sizes, ["pair", "value"]).withColumn("tree", F.pmod(F.xxhash64("fp"), trees).cast("int"))
-    rows = dealt.select("pair", "value", "fp", F.explode(F.sequence("tree", trees - 1)).alias("at"), "tree").withColumn("query", F.col("at") != F.col("tree"))
-    return tree_links(rows, ["pair", "value", "at"], ["fp"], linker)
+    # Shards of one member drop out.
+    met = keyed.join(sizes, ["pair", "value"])
+    smaller = F.when(F.col("n") > TREE_NODES, keys(F.col("fp"), F.get(F.array(*map(longs, finer)), F.col("pair")))).otherwise(F.array(F.struct(none.alias("mask"), F.lit(0).cast("long").alias("bits"))))
+    rows = met.select("pair", "value", "fp", F.inline(smaller)).withColumn("query", F.lit(False))
+    unsigned = (1 << 64) - 1
+
+    def linker(members: list[tuple], queries: Iterator[tuple]) -> Iterator[tuple[int, int]]:
+        for a, b in shard_links([x & unsigned for (x,) in members], (x & unsigned for (x,) in queries), radius):
+            yield signed(a), signed(b)
+
+    return tree_links(rows, ["pair", "value", "mask", "bits"], ["fp"], linker)
 
 
 def tree_links(rows: DataFrame, order: list[str], item: list[str], linker: Linker) -> DataFrame:

@@ -87,11 +87,11 @@ def edited(r, words, share):
     return " ".join(w if r.random() > share else f"new{r.randint(0, 999)}" for w in words)
 
 
-@pytest.mark.parametrize("nodes", [4096, 7])
+@pytest.mark.parametrize("nodes", [(4096, 4096), (128, 9), (7, 3)])
 def test_near_copies(monkeypatch, spark, nodes):
-    """Every class at 0.8 exactly as all pairs give it, and the smallest id kept; small trees split groups."""
-    monkeypatch.setattr(near_copies, "TREE_NODES", nodes)
-    monkeypatch.setattr(simhash, "TREE_NODES", nodes)
+    """Every class at 0.8 exactly as all pairs give it, and the smallest id kept; small trees split groups and shards."""
+    monkeypatch.setattr(near_copies, "SHARD_NODES", nodes[0])
+    monkeypatch.setattr(near_copies, "TREE_NODES", nodes[1])
     r = random.Random(6)
     base = [[f"w{r.randint(0, 3000)}" for _ in range(r.choice((60, 150, 400)))] for _ in range(25)]
     docs = [(i, edited(r, base[i % 25] if i % 3 else base[0], r.choice((0, 0.005, 0.01, 0.02, 0.05)))) for i in range(300)] + EDGES + [(905, "Twin TEXT"), (906, "x y z w v u")]
