@@ -3,23 +3,29 @@
 DataFrame functions only. For each kind a pattern proposes spans, leftmost and
 without overlap; a validator (octets, Luhn, digit counts, ISO 7064 mod-97)
 confirms or drops them. A span's score is that of its kind, raised if a word that
-goes with the kind stands within ``CONTEXT`` characters before it. The four base
-kinds always stay; of the kinds added here (IBANs, secrets, short card numbers)
-those that score ``THRESHOLD`` stay. An IBAN or a short card number may be followed by
-more groups of capitals or digits: it ends at the group where its checksum holds, an
-IBAN at its country's length if it holds there, else at the last one.
+goes with the kind stands within ``BEFORE`` characters before it or ``AFTER`` after it
+(up to the kind's next match). The four base kinds always stay; of the kinds added
+here (IBANs, secrets, short card numbers) those that score ``THRESHOLD`` stay. An IBAN
+or a short card number may be followed by more groups of capitals or digits: it ends at
+the group where its checksum holds, an IBAN at its country's length if it holds there,
+else at the last one.
 
 Java's matcher recurses on repeated groups, so a very long run would overflow
 its stack. Separators inside runs are therefore first replaced one for one by
 private-use characters (those of the text give way to another), which makes
 each run one character class. Positions are code points and stay as they were.
+Spans come from the running lengths of a text's pieces and are replaced within its
+blocks, so that time doesn't grow with the square of a text's length or spans.
 
-Null and empty texts have no spans. Repeated rows get equal results, other
-columns pass through, and columns named like an added one are replaced.
+Null and empty texts have no spans, an empty table gives no rows. Repeated rows get
+equal results, other columns pass through, whatever their names; a column
+named personal_data is replaced.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +33,10 @@ from sokhan.llm.common import table
 
 KINDS = ("email", "ip", "card", "phone", "iban", "secret", "short_card")
 BASE = KINDS[:4]
-CONTEXT, THRESHOLD = 40, 0.5
-#: Score of a confirmed span, and the words before it that raise the score by 0.3.
+BEFORE, AFTER, THRESHOLD = 40, 20, 0.5
+#: Characters that a position is looked up among; matches that may stand within BEFORE characters.
+BLOCK, NEAR = 512, 8
+#: Score of a confirmed span, and the words near it that raise the score by 0.3.
 SCORES = {"email": 0.7, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.7, "secret": 0.6, "short_card": 0.3}
 WORDS = {
     "email": "e-?mail|mail|contact|write",
@@ -61,22 +69,52 @@ IBAN_LENGTHS = {
     "RU": 33,
 }
 GAP, DOT, OTHER = "\ue000", "\ue001", "\ue002"
-EMPTY = "array<struct<kind:string,start:long,end:long,found:string>>"
+SPAN = "struct<kind:string,start:long,end:long,found:string,before:string,after:string>"
+EMPTY = f"array<{SPAN}>"
+
+
+def let(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """fn(value), with value evaluated once however often fn uses it."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """What join makes from 0 of all longs before each place, in two steps over chunks.
+
+    An aggregate's state is copied at each element, so it can't be an array that grows.
+    """
+    zero = F.lit(0).cast("long")
+
+    def run(v: Column, c: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / c).cast("int")), lambda j: F.aggregate(F.slice(v, j * c + 1, c), zero, join))
+        first = let(sums, lambda ss: F.transform(ss, lambda x, j: F.aggregate(F.slice(ss, F.lit(1), j), zero, join)))
+        return let(first, lambda begin: F.transform(v, lambda x, i: F.aggregate(F.slice(v, i - i % c + 1, i % c), F.get(begin, F.floor(i / c).cast("int")), join)))
+
+    def sized(v: Column) -> Column:
+        return F.when(F.size(v) > 0, let(F.ceil(F.cbrt(F.size(v))).cast("int"), lambda c: run(v, c))).otherwise(F.array().cast("array<bigint>"))
+
+    return let(values, sized)
 
 
 def proposals(kind: str, text: Column, pattern: str) -> Column:
-    """The pattern's matches as structs; pieces between them give the positions."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pieces = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(EMPTY).alias("out"))
+    """The pattern's matches as structs; pieces between them give the positions and what stands near."""
+
+    def spans(found: Column) -> Column:
+        def run(pieces: Column) -> Column:
+            pairs = F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, lambda p, f: F.array(p, f))
+            sizes = F.transform(pairs, lambda x: (F.length(x[0]) + F.length(x[1])).cast("long"))
+            ends = F.transform(F.flatten(pairs), lambda x: F.right(x, F.lit(BEFORE)))
+
+            def span(begin: Column, tails: Column, f: Column, i: Column) -> Column:
+                start, last = begin + F.length(F.get(pieces, i)), F.least(i, F.lit(NEAR))
+                before = F.array_join(F.slice(tails, 2 * (i - last) + 1, 2 * last + 1), "")
+                return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(f)).alias("end"), f.alias("found"), F.right(before, F.lit(BEFORE)).alias("before"), F.left(F.get(pieces, i + 1), F.lit(AFTER)).alias("after"))
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["piece"])
-        end = begin + F.length(x["found"])
-        span = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), x["found"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+            return let(running(sizes, lambda a, b: a + b), lambda begins: let(ends, lambda tails: F.transform(found, lambda f, i: span(F.get(begins, i), tails, f, i))))
 
-    return F.aggregate(F.arrays_zip(pieces.alias("piece"), found.alias("found")), start, step, lambda acc: acc["out"])
+        return F.when(F.size(found) > 0, let(F.split(text, pattern, -1), run)).otherwise(F.array().cast(EMPTY))
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), spans)
 
 
 def digits(s: Column) -> Column:
@@ -105,22 +143,24 @@ def mod97(s: Column) -> Column:
     return F.aggregate(F.filter(F.split(turned, ""), lambda c: c != ""), F.lit(0), add) == 1
 
 
-def ended(x: Column, end: Column) -> Column:
-    """A span that ends after so many of its characters."""
-    return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), (x["start"] + end).alias("end"), F.substring(x["found"], F.lit(1), end).alias("found"))
+def ended(x: Column, found: Column, end: Column) -> Column:
+    """A span of the first so many characters of found."""
+    return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), (x["start"] + end).alias("end"), F.substring(found, F.lit(1), end).alias("found"), x["before"].alias("before"), x["after"].alias("after"))
 
 
 def ibans(text: Column) -> Column:
-    """Confirmed IBANs: heads propose starts, also within what follows another; spans don't overlap."""
-    heads = proposals("iban", text, "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+    """Confirmed IBANs: heads propose starts, also within what follows another; one that starts within an earlier one goes."""
+    head = "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}"
+    heads = proposals("iban", text, head + "(?= ?[A-Z0-9])")
+    # 30 characters at most, a blank before any, and the one after.
+    rests = F.regexp_extract_all(text, F.lit(head + "(?=( ?[A-Z0-9][A-Za-z0-9 ]{0,62}))"), F.lit(1))
     lengths = F.create_map(*(F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair))
 
     def compact(s: Column) -> Column:
         return F.regexp_replace(s, " ", "")
 
-    def whole(x: Column) -> Column:
-        # 34 characters at most, a blank between any two, and the one after.
-        piece = F.substring(text, (x["start"] + 1).cast("int"), F.lit(68))
+    def whole(x: Column, rest: Column) -> Column:
+        piece = F.concat(x["found"], rest)
         run = F.regexp_extract(piece, "^[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}", 0)
 
         def good(e: Column) -> Column:
@@ -129,16 +169,13 @@ def ibans(text: Column) -> Column:
 
         ends = F.when(F.length(run) >= 15, F.filter(F.sequence(F.lit(15), F.length(run)), good)).otherwise(F.array().cast("array<int>"))
         own = F.filter(ends, lambda e: F.length(compact(F.substring(run, F.lit(1), e))) == F.try_element_at(lengths, F.substring(run, F.lit(1), F.lit(2))))
-        end = F.coalesce(F.array_max(own), F.array_max(ends))
-        return ended(F.struct(x["kind"].alias("kind"), x["start"].alias("start"), run.alias("found")), end)
-
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(EMPTY).alias("out"))
+        return ended(x, run, F.coalesce(F.array_max(own), F.array_max(ends)))
 
-    def step(acc: Column, x: Column) -> Column:
-        keep = x["end"].isNotNull() & (x["start"] >= acc["at"])
-        return F.struct(F.when(keep, x["end"]).otherwise(acc["at"]).alias("at"), F.when(keep, F.concat(acc["out"], F.array(x))).otherwise(acc["out"]).alias("out"))
+    def apart(found: Column) -> Column:
+        reach = running(F.transform(found, lambda x: x["end"]), lambda a, b: F.greatest(a, b))
+        return let(reach, lambda r: F.filter(found, lambda x, i: x["start"] >= F.get(r, i)))
 
-    return F.aggregate(F.transform(heads, whole), start, step, lambda acc: acc["out"])
+    return let(F.filter(F.zip_with(heads, rests, whole), lambda x: x["end"].isNotNull()), apart)
 
 
 def short_cards(gaps: Column, low: int = 13, high: int = 15) -> Column:
@@ -156,7 +193,7 @@ def short_cards(gaps: Column, low: int = 13, high: int = 15) -> Column:
         d = digits(x["found"])
         return F.length(d).between(16, 19) & luhn(d)
 
-    found = F.transform(F.filter(runs, lambda x: ~card(x)), lambda x: ended(x, end(x)))
+    found = F.transform(F.filter(runs, lambda x: ~card(x)), lambda x: ended(x, x["found"], end(x)))
     return F.filter(found, lambda x: x["end"].isNotNull())
 
 
@@ -191,45 +228,59 @@ def confirmed(text: Column) -> dict[str, Column]:
     }
 
 
-def scored(text: Column, spans: Column) -> Column:
-    """Spans with their score; the words of a kind before a span raise it."""
+def scored(spans: Column) -> Column:
+    """Spans with their score; the words of a kind near a span raise it."""
     words = F.create_map(*(F.lit(x) for k in KINDS for x in (k, rf"(?i)(?<![a-z])(?:{WORDS[k]})(?![a-z])")))
     base = F.create_map(*(F.lit(x) for k in KINDS for x in (k, SCORES[k])))
 
     def add(x: Column) -> Column:
-        begin = F.greatest(x["start"] - CONTEXT, F.lit(0))
-        before = F.substring(text, (begin + 1).cast("int"), (x["start"] - begin).cast("int"))
-        score = base[x["kind"]] + F.when(F.regexp_like(before, words[x["kind"]]), 0.3).otherwise(0.0)
+        near = F.regexp_like(x["before"], words[x["kind"]]) | F.regexp_like(x["after"], words[x["kind"]])
+        score = base[x["kind"]] + F.when(near, 0.3).otherwise(0.0)
         return F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"), score.alias("score"))
 
     return F.transform(spans, add)
 
 
+def personal_data(text: Column) -> Column:
+    """An array of (kind, start, end, score) by kind, then start."""
+    text = F.coalesce(text.cast("string"), F.lit(""))
+    keep = lambda x: x["kind"].isin(*BASE) | (x["score"] >= THRESHOLD)
+    none = F.array().cast("array<struct<kind:string,start:long,end:long,score:double>>")
+    return let(F.concat(*confirmed(text).values()), lambda spans: F.when(F.size(spans) > 0, F.filter(scored(spans), keep)).otherwise(none))
+
+
 def find_personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
     """All columns and personal_data, an array of (kind, start, end, score) by kind, then start."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    spans = F.concat(*confirmed(text).values())
-    out = df.withColumn("_spans", spans)
-    keep = F.filter(scored(text, F.col("_spans")), lambda x: x["kind"].isin(*BASE) | (x["score"] >= THRESHOLD))
-    return out.withColumn("personal_data", F.when(F.size("_spans") > 0, keep).otherwise(F.array().cast("array<struct<kind:string,start:long,end:long,score:double>>"))).drop("_spans")
+    return df.withColumn("personal_data", personal_data(F.col(text_col)))
 
 
-def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
+def replaced(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in angle brackets; overlapping spans become one."""
-    found = find_personal_data(df, text_col)
-    text, spans = F.col(text_col), F.array_sort(F.transform("personal_data", lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("neg"), x["kind"].alias("kind"))))
-    first = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
+    order = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), (-x["end"]).alias("neg"), F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">")).alias("kind"))))
 
-    def step(acc: Column, x: Column) -> Column:
-        piece = F.substring(text, (acc["at"] + 1).cast("int"), (x["start"] - acc["at"]).cast("int"))
-        new = F.concat(acc["out"], F.array(piece, F.concat(F.lit("<"), F.upper(x["kind"]), F.lit(">"))))
-        return F.struct(F.greatest(acc["at"], -x["neg"]).alias("at"), F.when(x["start"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
+    def run(blocks: Column, marks: Column) -> Column:
+        def between(a: Column, b: Column) -> Column:
+            """Characters from a to before b, from the blocks they lie in."""
+            first, last = (F.floor(x / BLOCK).cast("int") for x in (a, b))
+            part = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+            return F.when(a < b, F.substring(part, (a - first * BLOCK + 1).cast("int"), (b - a).cast("int"))).otherwise(F.lit(""))
 
-    def end(acc: Column) -> Column:
-        return F.concat(F.array_join(acc["out"], ""), F.substring(text, (acc["at"] + 1).cast("int"), F.length(text)))
+        def part(at: Column, x: Column) -> Column:
+            return F.when(x["start"] >= at, F.concat(between(at, x["start"]), x["kind"])).otherwise(F.lit(""))
 
-    clean = F.aggregate(spans, first, step, end)
-    return found.withColumn(text_col, F.when(F.size("personal_data") > 0, clean).otherwise(text)).drop("personal_data")
+        reach = running(F.transform(marks, lambda x: -x["neg"]), lambda a, b: F.greatest(a, b))
+        return let(reach, lambda r: F.array_join(F.transform(marks, lambda x, i: part(F.get(r, i), x)), ""))
+
+    end = F.struct(F.length(text).cast("long").alias("start"), F.lit(0).cast("long").alias("neg"), F.lit("").alias("kind"))
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return let(blocks, lambda bs: let(F.concat(order, F.array(end)), lambda marks: run(bs, marks)))
+
+
+def redact(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """The text with each span replaced by its kind in angle brackets; overlapping spans become one."""
+    text = F.col(text_col).cast("string")
+    clean = let(personal_data(text), lambda spans: F.when(F.size(spans) > 0, replaced(text, spans)).otherwise(text))
+    return df.withColumn(text_col, clean)
 
 
 def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

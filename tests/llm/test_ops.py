@@ -179,6 +179,24 @@ def test_personal_data(spark):
     assert [x["text"] for x in clean] == ["mail <EMAIL> now, card <CARD>!", None]
 
 
+def test_personal_data_in_long_texts(spark):
+    """Spans of a quarter of a megabyte of each kind, and the text without them, as plain patterns give them."""
+    shapes = {"ip": "10.20.30.{}, é ", "email": "ab{}@c.de, 𝄞 ", "card": "card 4111 1111 1111 1111, {}. ", "phone": "+49 30 1234 {}; "}
+    plain = {"ip": r"[0-9]+(?:\.[0-9]+){3}", "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "card": r"[0-9](?:[ -]?[0-9]){15,}", "phone": r"\+[0-9][ ().0-9-]+[0-9]"}
+    texts = [(k, "".join(shape.format(i % 200) for i in range(256_000 // len(shape)))) for k, shape in shapes.items()]
+    df = spark.createDataFrame(texts, "shape string, text string").withColumn("_spans", F.lit(1))
+    for x in personal_data.find_personal_data(df).collect():
+        want = [m.span() for m in re.finditer(plain[x["shape"]], x["text"])]
+        assert x["_spans"] == 1 and [(s["start"], s["end"]) for s in x["personal_data"]] == want and len(want) > 4000
+    for x in personal_data.redact(df).collect():
+        assert x["text"] == re.sub(plain[x["shape"]], f"<{x['shape'].upper()}>", dict(texts)[x["shape"]])
+    many = spark.createDataFrame([("DE89 3704 0044 0532 0130 00 BIC ABC " * 1000,)], "text string")
+    assert set(personal_data.redact(many).first()["text"].split(" BIC ABC ")) == {"<IBAN>", ""}
+    assert personal_data.redact(frame(spark, [])).count() == personal_data.find_personal_data(frame(spark, [])).count() == 0
+    near = spark.createDataFrame([("3782 822463 10005 is my amex",), ("3782 822463 10005 is mine",)], "text string")
+    assert [len(x["personal_data"]) for x in personal_data.find_personal_data(near).collect()] == [1, 0]
+
+
 def test_personal_data_followed_by_more_groups(spark):
     texts = {
         "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX": ["DE89 3704 0044 0532 0130 00"],
