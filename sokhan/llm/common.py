@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -27,14 +27,17 @@ def prepare(spark: SparkSession) -> None:
     """Workers can import this package; a checkpoint folder is set.
 
     The cluster names the shared folder in spark.checkpoint.dir. Only where it
-    is unset (tests on one machine) a temporary folder is taken.
+    is unset and everything runs on one machine (tests) a temporary folder is taken.
     """
     sc = spark.sparkContext
     parts = [p for p in sc.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
     if ROOT not in parts:
         sc.environment["PYTHONPATH"] = os.pathsep.join([*parts, ROOT])
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="checkpoint-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or "file://" + tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -66,6 +69,16 @@ def by_batch(df: DataFrame, fn: Callable[[pa.RecordBatch], dict[str, list]], sch
     return df.mapInArrow(run, schema)
 
 
+def packed(df: DataFrame, *more: Column) -> DataFrame:
+    """All columns as one struct ``row`` beside others, so that no name of theirs can clash."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), *more)
+
+
+def unpacked(df: DataFrame, names: list[str], **added: Column) -> DataFrame:
+    """The columns of ``row`` again, then those added; an added one replaces its namesake."""
+    return df.select(*(F.col("row")[c].alias(c) for c in names if c not in added), *(v.alias(c) for c, v in added.items()))
+
+
 def id_and_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns that an operator reads, under its own names."""
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -15,7 +15,8 @@ hash of the id.
 
 Null texts have size 16 like empty ones; null ids hash like a value of their
 own. Rows that agree in text and id are neighbours and get neighbouring slots.
-An empty table gives no rows. Columns named like an added one are replaced.
+An empty table gives no rows. Columns named like an added one (size, shard, slot) are
+replaced; all others pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,12 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sokhan.llm.common import partitions, prepare, table
+from sokhan.llm.common import packed, partitions, prepare, table, unpacked
 
 SHARDS, PROBES, TOLERANCE, OVERHEAD = 40, 64, 0.002, 16
+#: Probes of one round, over all open cuts; each gets at least LEAST.
+ASKED, LEAST = 1 << 18, 4
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 
 
@@ -37,13 +40,12 @@ def sizes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + OVERHEAD
 
 
-def below(keys: DataFrame, probes: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Exact (bytes, rows) below each of the ascending probes (k1, k2) over keys (k1, k2, size).
+def below(keys: DataFrame, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
+    """Exact bytes and rows (two columns) below each of the ascending probes over keys (k1, k2, size).
 
     A task counts its rows between probes; what it hands on is at most a row for
     each probe, summed again over tasks.
     """
-    p1, p2 = (np.array([p[i] for p in probes], np.int64) for i in (0, 1))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, len(p1) + 1), np.int64)
@@ -54,11 +56,10 @@ def below(keys: DataFrame, probes: list[tuple[int, int]]) -> list[tuple[int, int
         used = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int64)), pa.array(total[0][used]), pa.array(total[1][used])], ["at", "bytes", "n"])
 
-    found = keys.select("k1", "k2", "size").mapInArrow(count, "at long, bytes long, n long").groupBy("at").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).collect()
-    total = np.zeros((2, len(p1) + 1), np.int64)
-    for r in found:
-        total[:, r["at"]] = r["bytes"], r["n"]
-    return [tuple(int(x) for x in c) for c in np.cumsum(total, axis=1)[:, :-1].T]
+    found = keys.select("k1", "k2", "size").mapInArrow(count, "at long, bytes long, n long").groupBy("at").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).toArrow()
+    total = np.zeros((len(p1) + 1, 2), np.int64)
+    total[found.column("at").to_numpy()] = np.column_stack([found.column(c).to_numpy() for c in ("bytes", "n")])
+    return np.cumsum(total, axis=0)[:-1]
 
 
 def place(k1: np.ndarray, k2: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.ndarray:
@@ -71,49 +72,66 @@ def place(k1: np.ndarray, k2: np.ndarray, p1: np.ndarray, p2: np.ndarray) -> np.
     return low
 
 
-def spread(low: tuple[int, int], high: tuple[int, int], n: int) -> list[tuple[int, int]]:
-    """n keys between two: by k1 as long as that differs, then by k2."""
-    if high[0] - low[0] > 1:
-        step = (high[0] - low[0]) / (n + 1)
-        return [(min(high[0], low[0] + max(1, int(step * (i + 1)))), LOW) for i in range(n)]
-    if high[0] != low[0]:
-        # Only low's text lies between: its ids.
-        return [(high[0], LOW)] + [(low[0], LOW + ((HIGH - LOW) // n) * (i + 1)) for i in range(n - 1)] if low[1] == LOW else [(low[0], low[1] + max(1, (HIGH - low[1]) * (i + 1) // (n + 1))) for i in range(n)]
-    return [(low[0], low[1] + max(1, (high[1] - low[1]) * (i + 1) // (n + 1))) for i in range(n)]
+def between(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
+    """For each interval a row of n numbers from above low up to high, evenly laid."""
+    gap = high.astype(np.uint64) - low.astype(np.uint64)  # wraps as wanted
+    step, rest = gap // np.uint64(n + 1), gap % np.uint64(n + 1)
+    i = np.arange(1, n + 1, dtype=np.uint64)
+    off = step[:, None] * i + rest[:, None] * i // np.uint64(n + 1)
+    off = np.minimum(np.maximum(off, np.uint64(1)), gap[:, None])
+    return (low.astype(np.uint64)[:, None] + off).view(np.int64)
 
 
-def splitters(keys: DataFrame, n: int, tolerance: float = TOLERANCE, probes: int = PROBES) -> list[tuple[tuple[int, int], int, int]]:
-    """n - 1 cuts as (key, bytes below, rows below), each within tolerance of its share of a part.
+def spread(low: np.ndarray, high: np.ndarray, n: int) -> np.ndarray:
+    """Ascending distinct keys (k1, k2) between those of each row of low and of high: by k1 as long as that differs, then by k2."""
+    gap = high[:, 0].astype(np.uint64) - low[:, 0].astype(np.uint64)
+    wide, step, same = gap > 1, gap == 1, gap == 0
+    texts = between(low[wide, 0], high[wide, 0], n)
+    ids = between(low[step, 1], np.full(step.sum(), HIGH), n)
+    own = between(low[same, 1], high[same, 1], n)
+    first = lambda a, x: np.broadcast_to(a[:, None], x.shape)
+    made = [(texts, np.full_like(texts, LOW)), (first(low[step, 0], ids), ids), (high[step, :1], np.full((step.sum(), 1), LOW)), (first(low[same, 0], own), own)]
+    out = np.concatenate([np.column_stack((a.ravel(), b.ravel())) for a, b in made])
+    owner = np.concatenate([np.repeat(np.flatnonzero(m), k) for m, k in ((wide, n), (step, n), (step, 1), (same, n))])
+    after = (out[:, 0] > low[owner, 0]) | (out[:, 0] == low[owner, 0]) & (out[:, 1] > low[owner, 1])
+    before = (out[:, 0] < high[owner, 0]) | (out[:, 0] == high[owner, 0]) & (out[:, 1] < high[owner, 1])
+    return np.unique(out[after & before], axis=0)
+
+
+def nearest(weights: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """For each target the place of the nearest of the ascending weights."""
+    at = np.clip(np.searchsorted(weights, targets), 1, max(1, len(weights) - 1))
+    right = np.minimum(at, len(weights) - 1)
+    return np.where(np.abs(weights[at - 1] - targets) <= np.abs(weights[right] - targets), at - 1, right)
+
+
+def splitters(keys: DataFrame, n: int, tolerance: float = TOLERANCE, probes: int = PROBES) -> tuple[np.ndarray, np.ndarray]:
+    """n - 1 cuts as keys and as (bytes, rows) below them, each within tolerance of its share of a part.
 
     A round is one pass over the thin keys; probes of a round shrink each open
     interval about ``probes`` times. Cuts between texts are taken if there is one.
     """
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
-    targets = [total[0] * i / n for i in range(1, n)]
+    targets = total[0] * np.arange(1, n) / n
     slack = tolerance * total[0] / n
-    known: dict[tuple[int, int], tuple[int, int]] = {(LOW, LOW): (0, 0), (HIGH, HIGH): (total[0], total[1])}
+    known, under = np.array([[LOW, LOW], [HIGH, HIGH]]), np.array([[0, 0], list(total)], np.int64)
     while True:
-        wanted, order = set(), sorted(known)
-        weights = [known[k][0] for k in order]
-        for t in targets:
-            if min(abs(w - t) for w in (weights[max(0, np.searchsorted(weights, t) - 1)], weights[min(len(weights) - 1, np.searchsorted(weights, t))])) <= slack:
-                continue
-            at = int(np.searchsorted(weights, t))
-            low, high = order[at - 1], order[at]
-            # Fewer than two rows between, or no key between: the nearer end is the best cut there is.
-            if known[high][1] - known[low][1] > 1:
-                wanted.update(k for k in spread(low, high, probes) if low < k < high and k not in known)
-        if not wanted:
+        weights = under[:, 0]
+        far = targets[np.abs(weights[nearest(weights, targets)] - targets) > slack]
+        at = np.unique(np.searchsorted(weights, far))
+        # Fewer than two rows between, or no key between: the nearer end is the best cut there is.
+        at = at[under[at, 1] - under[at - 1, 1] > 1]
+        asked = spread(known[at - 1], known[at], max(LEAST, min(probes, ASKED // max(1, len(at)))))
+        if not len(asked):
             break
-        asked = sorted(wanted)
-        known.update(zip(asked, below(keys, asked), strict=True))
-    order = sorted(known)
-    out, last = [], (LOW, LOW)
-    for t in targets:
-        near = [k for k in order if k >= last and abs(known[k][0] - t) <= slack] or [min((k for k in order if k >= last), key=lambda k: abs(known[k][0] - t))]
-        last = min(near, key=lambda k: (k[1] != LOW, abs(known[k][0] - t)))
-        out.append((last, *known[last]))
-    return out
+        known, under = np.concatenate((known, asked)), np.concatenate((under, below(keys, asked[:, 0].copy(), asked[:, 1].copy())))
+        order = np.lexsort((known[:, 1], known[:, 0]))
+        known, under = known[order], under[order]
+    weights, whole = under[:, 0], np.flatnonzero(known[:, 1] == LOW)
+    texts = whole[nearest(weights[whole], targets)]
+    best = np.where(np.abs(weights[texts] - targets) <= slack, texts, nearest(weights, targets))
+    best = np.maximum.accumulate(best)
+    return known[best], under[best]
 
 
 def shard_documents(df: DataFrame, shards: int = SHARDS, text_col: str = "text", id_col: str = "doc_id", tolerance: float = TOLERANCE) -> DataFrame:
@@ -125,30 +143,25 @@ def shard_documents(df: DataFrame, shards: int = SHARDS, text_col: str = "text",
     spark = df.sparkSession
     prepare(spark)
     text = F.col(text_col).cast("string")
-    keyed = df.withColumns({"_k1": F.xxhash64(text, F.lit(1)), "_k2": F.xxhash64(F.col(id_col), F.lit(2)), "size": sizes(text)})
-    thin = keyed.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), "size").checkpoint()
+    columns = {"k1": F.xxhash64(text, F.lit(1)), "k2": F.xxhash64(F.col(id_col), F.lit(2)), "size": sizes(text)}
+    thin = df.select(*(v.alias(c) for c, v in columns.items())).checkpoint()
     per = max(1, -(-partitions(spark) // shards))
-    cuts = splitters(thin, shards * per, tolerance)
-    p1, p2 = (np.array([c[0][i] for c in cuts], np.int64) for i in (0, 1))
+    cuts, under = splitters(thin, shards * per, tolerance)
+    p1, p2 = cuts[:, 0].copy(), cuts[:, 1].copy()
     # Rows below a part, less those below its shard: where the part's slots begin.
-    rows_below = [0, *(c[2] for c in cuts)]
-    first = [rows_below[i] - rows_below[i // per * per] for i in range(shards * per)]
+    rows_below = np.concatenate(([0], under[:, 1]))
+    first = rows_below - np.repeat(rows_below[::per], per)
 
     @F.arrow_udf("int")
     def part(k1: pa.Array, k2: pa.Array) -> pa.Array:
         return pa.array(place(k1.to_numpy(zero_copy_only=False), k2.to_numpy(zero_copy_only=False), p1, p2).astype(np.int32))
 
-    starts = spark.createDataFrame(list(enumerate(first)), "_part int, _first long")
-    dealt = keyed.withColumn("_part", part("_k1", "_k2"))
-    numbered = number(dealt, id_col).join(F.broadcast(starts), "_part")
-    return numbered.withColumns({"shard": F.floor(F.col("_part") / per).cast("int"), "slot": F.col("_first") + F.col("_n") - 1}).drop("_k1", "_k2", "_part", "_first", "_n")
-
-
-def number(dealt: DataFrame, id_col: str) -> DataFrame:
-    """Each row's place in its part; a part is one cut of the histogram, so its size is bounded."""
-    from pyspark.sql import Window
-
-    return dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy("_k1", "_k2", id_col)))
+    starts = spark.createDataFrame(pa.table({"part": pa.array(np.arange(len(first), dtype=np.int32)), "first": pa.array(first)}))
+    dealt = packed(df, F.col(id_col).alias("id"), *(v.alias(c) for c, v in columns.items())).withColumn("part", part("k1", "k2"))
+    # A part is one cut of the histogram, so its size is bounded.
+    numbered = dealt.withColumn("n", F.row_number().over(Window.partitionBy("part").orderBy("k1", "k2", "id")))
+    out = numbered.join(F.broadcast(starts), "part")
+    return unpacked(out, df.columns, size=F.col("size"), shard=F.floor(F.col("part") / per).cast("int"), slot=F.col("first") + F.col("n") - 1)
 
 
 def op4_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -142,20 +142,76 @@ def test_bk_tree_and_split_shards(monkeypatch, spark):
                 assert label[a] == label[b]
 
 
-def test_histogram_shards(spark):
-    r = random.Random(3)
-    docs = [(i, "w" * r.randint(0, 400)) for i in range(3000)] + [(5000 + i, "same text " * 9) for i in range(1500)] + EDGES
-    rows = histogram_shards.shard_documents(frame(spark, docs), shards=8).collect()
+def by_shard(rows):
     by = {}
     for x in rows:
         by.setdefault(x["shard"], []).append(x)
-    sizes = [sum(x["size"] for x in g) for g in by.values()]
-    assert len(rows) == len(docs) and set(by) == set(range(8))
     assert all(sorted(x["slot"] for x in g) == list(range(len(g))) for g in by.values())
-    assert max(s for s in sizes) - min(sizes) < 0.02 * sum(sizes) / 8 + 2 * 120_016
+    return by
+
+
+def test_histogram_shards(spark):
+    r = random.Random(3)
+    docs = [(i, f"{i % 900} " + "w" * (i % 900 % 401)) for i in range(9000)] + [e for e in EDGES if len(e[1] or "") < 1000]
+    rows = histogram_shards.shard_documents(frame(spark, docs).withColumns({"_k1": F.lit(1), "part": F.lit(2)}), shards=8, tolerance=0.05).collect()
+    by, mean = by_shard(rows), sum(x["size"] for x in rows) / 8
+    assert len(rows) == len(docs) and set(by) == set(range(8)) and all(x["_k1"] == 1 and x["part"] == 2 for x in rows)
+    # A text's ten copies are fewer bytes than the tolerance, so no cut parts them.
+    assert 10 * (16 + 405) < 0.05 * mean and all(abs(sum(x["size"] for x in g) - mean) <= 2 * 0.05 * mean for g in by.values())
+    where = {}
+    for x in rows:
+        where.setdefault(x["text"], set()).add(x["shard"])
+    assert all(len(s) == 1 for s in where.values())
+
+
+def test_histogram_shards_cut_a_group_that_is_too_large(spark):
+    r = random.Random(3)
+    docs = [(i, "w" * r.randint(0, 400)) for i in range(3000)] + [(5000 + i, "same text " * 9) for i in range(9000)] + EDGES[:1]
+    rows = histogram_shards.shard_documents(frame(spark, docs), shards=8).collect()
+    by, mean = by_shard(rows), sum(x["size"] for x in rows) / 8
+    assert set(by) == set(range(8)) and all(abs(sum(x["size"] for x in g) - mean) <= 2 * histogram_shards.TOLERANCE * mean + 2 * 416 for g in by.values())
+    parted = {x["shard"] for x in rows if x["doc_id"] >= 5000}
+    assert len(parted) >= 6 and parted == set(range(min(parted), max(parted) + 1))
+    assert len(histogram_shards.shard_documents(frame(spark, docs + EDGES), shards=8).collect()) == len(docs) + len(EDGES)
     assert histogram_shards.shard_documents(frame(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("n", [40, 5000])
+def test_splitters_of_many_parts(monkeypatch, n):
+    """Cuts within tolerance, by keys counted in memory; thousands of parts take seconds."""
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    k1 = rng.integers(-(1 << 63), (1 << 63) - 1, 400_000)
+    k1[:100_000] = 7  # a text that holds a quarter of all rows
+    k2, size = rng.integers(-(1 << 63), (1 << 63) - 1, len(k1)), rng.integers(16, 300, len(k1))
+    order = np.lexsort((k2, k1))
+    k1, k2, size = k1[order], k2[order], size[order]
+    run = np.concatenate(([0], np.cumsum(size)))
+
+    def below(keys, p1, p2):
+        a, b = np.searchsorted(k1, p1, "left"), np.searchsorted(k1, p1, "right")
+        at = np.array([x + np.searchsorted(k2[x:y], z) for x, y, z in zip(a, b, p2, strict=True)])
+        return np.column_stack((run[at], at))
+
+    class Keys:
+        def agg(self, *columns):
+            return self
+
+        def first(self):
+            return int(run[-1]), len(k1)
+
+    monkeypatch.setattr(histogram_shards, "below", below)
+    monkeypatch.setattr(histogram_shards.F, "sum", lambda *a: None)
+    monkeypatch.setattr(histogram_shards.F, "coalesce", lambda *a: None)
+    monkeypatch.setattr(histogram_shards.F, "lit", lambda *a: None)
+    monkeypatch.setattr(histogram_shards.F, "count", lambda *a: None)
+    cuts, under = histogram_shards.splitters(Keys(), n)
+    off = np.abs(under[:, 0] - run[-1] * np.arange(1, n) / n)
+    assert off.max() <= max(histogram_shards.TOLERANCE * run[-1] / n, 300)
+    assert (np.diff(under[:, 1]) >= 0).all() and len(cuts) == n - 1
+
+
 def test_personal_data(spark):
     kinds = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
