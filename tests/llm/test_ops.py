@@ -9,7 +9,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from sokhan.llm import decontamination, histogram_shards, license_templates, line_rules, near_copies, personal_data, simhash, suffix_dedup, token_tables, unigram
+from sokhan.llm import compression_quality, decontamination, histogram_shards, license_templates, line_rules, near_copies, personal_data, simhash, suffix_dedup, token_tables, unigram
 
 EDGES = [(900, None), (901, ""), (902, " \n\t "), (903, "x" * 120_000), (None, "no id"), (904, "twin text"), (904, "twin text")]
 TABLES = "/root/testdata/sf0.001"
@@ -438,6 +438,28 @@ def test_decontamination_by_brute_force(spark):
     assert got == want and len(want) > 60 and {(150, 92), (151, 92)} <= want
 
 
+def test_quality_edges(spark):
+    """Whatever the labels, every score is from 0 to 1; without both kinds all are 0.5."""
+    r = random.Random(9)
+    prose = "the of and a river house walked through morning light with her small brown dog along old stone wall".split()
+    docs = [(i, " ".join(r.choice(prose) for _ in range(80)) if i % 2 else "buy $$$ now!!! " * 30 + str(r.random())) for i in range(200)] + EDGES
+    labels = lambda rows: spark.createDataFrame(rows, "doc_id long, quality int")
+    nothing = [[], [(i, 1) for i in range(200)], [(i, i % 2) for i in range(5000, 5100)], [(900, 0), (901, 1)], [(None, 1), (3, None), (1, 1), (2, 7)]]
+    for rows in nothing:
+        model = compression_quality.fit(frame(spark, docs), labels(rows))
+        assert {x["quality_score"] for x in compression_quality.score(frame(spark, EDGES), model).collect()} == {0.5}
+    taught = [(i, i % 2) for i in range(200)] + [(i, i % 2) for i in range(60)] + [(900, 1), (902, 0), (903, 0), (None, 1)]
+    model = compression_quality.fit(frame(spark, docs), labels(taught))
+    scored = compression_quality.score(frame(spark, docs).withColumn("quality_score", F.lit("x")), model).collect()
+    assert len(scored) == len(docs) and all(0 <= x["quality_score"] <= 1 and x["shard"] == "clash" for x in scored)
+    good = [x["quality_score"] > 0.5 for x in scored if x["doc_id"] is not None and x["doc_id"] < 200 and x["doc_id"] % 2]
+    bad = [x["quality_score"] < 0.5 for x in scored if x["doc_id"] is not None and x["doc_id"] < 200 and x["doc_id"] % 2 == 0]
+    assert all(good) and all(bad)
+    assert compression_quality.score(frame(spark, []), model).count() == 0
+    text = bytes(range(256)) * 40
+    assert compression_quality.blocks(text) == [text[a * 1024 : a * 1024 + 1024] for a in (0, 2, 5, 7)] and compression_quality.blocks(b"") == []
+
+
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no tables")
 def test_quality_on_held_out_labels(spark):
     from sokhan.llm.compression_quality import op8_compression_quality
