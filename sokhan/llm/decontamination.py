@@ -1,38 +1,44 @@
 """Benchmark decontamination by template windows and slot consistency.
 
 DataFrame functions only. A text becomes words (runs of letters and digits, in
-lower case) and a template of as many places, in which whole numbers, names
-(capitalised words after a lower-case word or a comma) and units (after a number)
-are placeholders of their type. Windows of ``WINDOW`` words of documents and
-benchmark items are hash-joined in each of four forms: the plain words, with
-numbers and units as placeholders, with names too, and with words that open a
-sentence as names too (two different ones only if neither is of ``OPENERS``), so that
-a text in other letter case or with another name there is found as well. Matches of a document and an item in one form on one
-diagonal (equal offset) are one alignment; it counts if its slots are consistent:
-the item's values and the document's map one to one, so a question asked again
-with other numbers or names is found, and scattered lookalikes are not. A pair is
-a leak if consistent alignments cover ``COVERAGE`` of the item's windows. A
-capitalised first word of an item is met as a word and, after another word, as a
-name, but only by the same word.
+lower case) and a template of as many places, in which numbers (digits, or number
+words of four languages but for those that mean one), names (capitalised words after a
+lower-case word or a comma) and units (after a number) are placeholders of their type.
+Windows of ``WINDOW`` words of documents and benchmark items are hash-joined in each of
+four forms: the plain words, with numbers and units as placeholders, with names too, and
+with words that open a sentence as names too (two different ones only if neither is of
+``OPENERS``), so that a text in other letter case or with another name there is found
+as well. Matches of a document and an item in one form on one diagonal (equal offset)
+are one alignment.
+
+Slots are consistent if the item's values determine the document's: "3 and 5" may be
+asked again as "4 and 4" or "seven and 9", but a value that occurs twice in the item has
+one counterpart. An alignment that contradicts itself doesn't count. Of the others those
+with more windows come first (then the smaller offset and form); each item value
+has the counterpart that the first of them gives it, and only alignments that agree with
+all counterparts count. A pair is a leak if these cover ``COVERAGE`` of the item's
+windows. A capitalised first word of an item is met as a word and, after another word,
+as a name, but only by the same word.
 
 Items shorter than a window are one window of all their words, met by windows of
-that length. Items without words match nothing; null and empty texts have no
-windows. Rows are told apart by id and text: rows with both equal give one row of
-result. Null ids are kept as an id of their own. Empty tables give no rows.
+that length. Items of fewer than ``LITERALS`` words besides placeholders say too little to
+be recognised ("Why?", "12 30 5"): they match nothing, and ``too_short`` lists them. Null
+and empty texts have no windows. Rows are told apart by id and text: rows with both equal
+give one row of result. Null ids are kept as an id of their own. Empty tables give no
+rows. Columns of documents pass through decontaminate, whatever their names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sokhan.llm.common import prepare, table
+from sokhan.llm.common import packed, prepare, table, unpacked
 
-WINDOW, COVERAGE = 8, 0.8
+WINDOW, COVERAGE, LITERALS = 8, 0.8, 5
 #: A benchmark of more windows than this, some 60 MB, is joined by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 #: Leaking rows of up to this many, some 30 MB, are removed by a broadcast.
@@ -48,7 +54,13 @@ so some than that the their then there these they this those to was we were what
 como cual cuando cuanto de del donde el ella en es la las lo los para pero por que quien se si su un una y
 au aux ce ces combien comment dans des elle est et il ils je le les mais nous ou par pas pour quand quel quelle qui sur une vous
 aber auf das dem den der die ein eine er es für ich im in ist mit nicht oder sie sind und von wann war warum was welche wer wie wir wo zu""".split()
-UNITS = "km|m|cm|mm|kg|g|mg|lb|lbs|oz|l|ml|s|sec|min|h|hr|hrs|mph|usd|eur|gbp|dollars|euros|pounds|cents|percent|meters|metres|kilometers|kilometres|miles|feet|inches|liters|litres|grams|kilograms|hours|minutes|seconds|days|weeks|months|years"
+UNITS = "km m cm mm kg g mg lb lbs oz l ml s sec min h hr hrs mph usd eur gbp dollars euros pounds cents percent meters metres kilometers kilometres miles feet inches liters litres grams kilograms hours minutes seconds days weeks months years".split()
+#: Number words of English, Spanish, French and German; those that mean one are articles too.
+NUMBERS = """zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen
+twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million
+cero dos tres cuatro cinco seis siete ocho nueve diez doce trece catorce quince veinte treinta cuarenta cincuenta sesenta setenta ochenta noventa cien mil
+deux trois quatre cinq sept huit neuf dix onze douze treize quatorze quinze seize vingt trente quarante cinquante soixante cent mille
+null zwei drei vier fünf sechs sieben acht neun zehn elf zwölf zwanzig dreißig vierzig fünfzig sechzig siebzig achtzig neunzig hundert tausend""".split()
 
 
 def words(text: Column) -> Column:
@@ -62,10 +74,21 @@ def template(text: Column) -> Column:
     t = F.translate(text, NUMBER + NAME + UNIT + OPEN, "    ")
     t = F.regexp_replace(t, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
     t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[0-9]++(?![\p{L}\p{N}])", NUMBER)
-    t = F.regexp_replace(t, rf"(?i)(?<={NUMBER} )(?:{UNITS})(?![\p{{L}}\p{{N}}])", UNIT)
     t = F.regexp_replace(t, r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", NAME)
     t = F.regexp_replace(t, r"((?:^|[.!?:…][\"'”’»)\]]{0,2}) ?[\"'“‘«(\[¿¡]{0,2})\p{Lu}\p{L}*+(?![\p{N}])", "$1" + OPEN)
-    return parts(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}{OPEN}]+", " "))
+    return valued(parts(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}{OPEN}]+", " ")))
+
+
+def valued(t: Column) -> Column:
+    """Number words as numbers, and units after a number as units."""
+
+    def one(w: Column, before: Column) -> Column:
+        return F.when(w.isin(NUMBERS), NUMBER).when(w.isin(UNITS) & ((before == NUMBER) | before.isin(NUMBERS)), UNIT).otherwise(w)
+
+    # Bound to a name, since the rules that give t would run once for each use.
+    shifted = lambda ws: F.concat(F.array(F.lit("")), F.slice(ws, F.lit(1), F.size(ws) - 1))
+    run = lambda ws: F.when(F.size(ws) > 0, F.zip_with(ws, shifted(ws), one)).otherwise(ws)
+    return F.element_at(F.transform(F.array(t), run), 1)
 
 
 def parts(text: Column) -> Column:
@@ -76,50 +99,100 @@ def at(column: str, i: int) -> Column:
     return F.get(column, F.col("at") + i)
 
 
-def form(kind: int, i: int) -> Column:
-    """Word i of the window at ``at`` in one form."""
+def form(kind: int, w: Column, t: Column) -> Column:
+    """A word in one form, by itself and its place in the template."""
     if kind == PLAIN:
-        return at("w", i)
+        return w
     if kind == OPENED:
-        return F.when(at("t", i) == OPEN, NAME).otherwise(at("t", i))
-    return F.when(at("t", i).isin([OPEN] if kind == NAMED else [OPEN, NAME]), at("w", i)).otherwise(at("t", i))
+        return F.when(t == OPEN, NAME).otherwise(t)
+    return F.when(t.isin([OPEN] if kind == NAMED else [OPEN, NAME]), w).otherwise(t)
+
+
+def coded(df: DataFrame) -> DataFrame:
+    """Rows with words w and template t, and c0, c1 ...: a hash of each word in each form."""
+
+    def code(kind: int) -> Column:
+        return F.zip_with("w", "t", lambda w, t: F.xxhash64(form(kind, w, t)))
 
+    return df.withColumns({f"c{k}": code(k) for k in KINDS})
 
-def windows(df: DataFrame, size: int, *kinds: int) -> DataFrame:
-    """Each window of a size of rows with words w and template t: at, and its hash by each kind as h0, h1 ...
 
-    Only places are unrolled and words taken by place, so that hashing a window and
+def window_hash(kind: int, size: int) -> Column:
+    """Hash of the window of a size at ``at`` in one form, from its words' hashes; null beyond the end."""
+    return F.when(F.col("at") + size <= F.size("w"), F.xxhash64(*(at(f"c{kind}", i) for i in range(size))))
+
+
+def windows(df: DataFrame, smallest: int) -> DataFrame:
+    """A row for each place ``at`` of coded rows where a window of the smallest size begins.
+
+    Only places are unrolled and hashes taken by place, so that hashing a window and
     probing the join stay in generated code.
     """
-    n = F.size("t") - size + 1
-    each = df.withColumn("at", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1)))).filter(F.col("at").isNotNull())
-    return each.withColumns({f"h{k}": F.xxhash64(*(form(k, i) for i in range(size))) for k in kinds})
+    n = F.size("w") - smallest + 1
+    return df.withColumn("at", F.explode_outer(F.when(n > 0, F.sequence(F.lit(0), n - 1)))).filter(F.col("at").isNotNull())
+
+
+def literals(t: Column) -> Column:
+    """How many words of a template are no placeholders; a word that opens a sentence may be a name."""
+    return F.size(F.filter(t, lambda x: ~x.isin(NUMBER, NAME, UNIT, OPEN)))
+
+
+def items_of(benchmark: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), words(text).alias("w"), template(text).alias("t"))
+
+
+def too_short(benchmark: DataFrame) -> DataFrame:
+    """item_id and text of the items that say too little to be recognised."""
+    return items_of(benchmark).filter(literals(F.col("t")) < LITERALS).select("item_id", "text")
 
 
 def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     """item_id, n_windows, size, item_at, form, window, item_words, item_template for each form of each window of each item."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), words(text).alias("w"), template(text).alias("t"))
-    items = items.withColumn("size", F.least(F.lit(window), F.size("t"))).withColumn("n_windows", F.size("t") - F.col("size") + 1)
+    items = items_of(benchmark).filter(literals(F.col("t")) >= LITERALS)
+    items = items.withColumn("size", F.least(F.lit(window), F.size("t"))).withColumn("n_windows", F.size("t") - F.col("size") + 1).checkpoint()
     # A capitalised first word is a word in the item and a name in a document that puts it after another word.
     opens = items.filter(F.regexp_like(F.trim("text"), F.lit(r"^\p{Lu}\p{L}*+(?![\p{N}])")))
     opens = opens.withColumns({"w": F.slice("w", F.lit(1), F.col("size")), "t": F.concat(F.array(F.lit(NAME)), F.slice("t", F.lit(2), F.col("size") - 1))})
-    items = items.withColumn("head", F.lit(False)).unionByName(opens.withColumn("head", F.lit(True)))
+    items = coded(items.withColumn("head", F.lit(False)).unionByName(opens.withColumn("head", F.lit(True))))
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most the window's size
 
     def sized(k: int) -> DataFrame:
-        each = windows(items.filter(F.col("size") == k), k, *KINDS)
-        forms = F.array(*(F.struct(F.lit(kind).alias("form"), F.col(f"h{kind}").alias("window"), F.array(*(form(kind, i) for i in range(k))).alias("item_template")) for kind in KINDS))
+        each = windows(items.filter(F.col("size") == k), k)
+        forms = F.array(*(F.struct(F.lit(kind).alias("form"), window_hash(kind, k).alias("window"), F.array(*(form(kind, at("w", i), at("t", i)) for i in range(k))).alias("item_template")) for kind in KINDS))
         each = each.select("item_id", "n_windows", "size", "head", F.col("at").alias("item_at"), F.array(*(at("w", i) for i in range(k))).alias("item_words"), F.inline(forms))
         return each.filter(~F.col("head") | (F.col("form") == NAMED)).drop("head")
 
-    return reduce(DataFrame.unionByName, map(sized, range(1, window + 1)))
+    return reduce(DataFrame.unionByName, map(sized, sizes or [window]))
 
 
-def hashes(kinds: Sequence[int]) -> Column:
-    """The distinct ones of h0, h1 ... as an array; where all are equal, without a search for the others."""
-    columns = [F.col(f"h{k}") for k in kinds]
+def hashes(size: int) -> Column:
+    """The distinct ones of a window's hashes as an array; where all are equal, without a search for the others."""
+    columns = [F.col(f"h{size}_{k}") for k in KINDS]
     same = reduce(Column.__and__, [a == b for a, b in pairwise(columns)])
-    return F.when(same, F.array(columns[0])).otherwise(F.array_distinct(F.array(*columns)))
+    return F.when(columns[0].isNull(), F.array().cast("array<bigint>")).when(same, F.array(columns[0])).otherwise(F.array_distinct(F.array(*columns)))
+
+
+def meetings(rows: DataFrame, items: DataFrame, sizes: list[int], bounded: bool) -> DataFrame:
+    """Each window of rows (doc_id, text_hash, w, t) that an item has in the same form."""
+
+    def hashed(carried: list[str]) -> DataFrame:
+        each = windows(coded(rows), sizes[0]).withColumns({f"h{s}_{k}": window_hash(k, s) for s in sizes for k in KINDS})
+        probes = hashes(sizes[0]) if len(sizes) == 1 else F.concat(*map(hashes, sizes))
+        each = each.withColumn("window", F.explode_outer(probes))
+        return each.select("doc_id", "text_hash", "at", "window", *carried, *(f"h{s}_{k}" for s in sizes for k in KINDS))
+
+    def same(row: DataFrame) -> DataFrame:
+        return row.filter(reduce(Column.__or__, [(F.col("size") == s) & (F.col("form") == k) & (F.col("window") == F.col(f"h{s}_{k}")) for s in sizes for k in KINDS]))
+
+    if bounded:
+        return same(hashed(["w"]).join(F.broadcast(items), "window")).withColumn("doc_words", F.slice("w", F.col("at") + 1, F.col("size")))
+    # Hashes alone are exchanged; words are taken again, of documents that meet an item.
+    met = same(hashed([]).join(items.select("window", "form", "size", "item_id", "item_at"), "window"))
+    met = met.select("doc_id", "text_hash", "at", "form", "size", "item_id", "item_at", "window").distinct().checkpoint()
+    key = [F.col(f"r.{c}").eqNullSafe(F.col(f"m.{c}")) for c in ("doc_id", "text_hash")]
+    found = rows.select("doc_id", "text_hash", "w").dropDuplicates(["doc_id", "text_hash"]).alias("r").join(met.alias("m"), key).select("m.*", F.slice("r.w", F.col("m.at") + 1, F.col("m.size")).alias("doc_words"))
+    return found.join(items, ["window", "form", "size", "item_id", "item_at"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
@@ -128,46 +201,42 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
     prepare(spark)
     items = item_windows(benchmark, window).checkpoint()
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most the window's size
-    bounded = items.count() <= BROADCAST_WINDOWS
+    if not sizes:
+        return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows int, n_matched int, coverage double, n_slots int, same_values boolean")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), template(F.col("text")).alias("t"))
-    found = None
-    for size in sizes:
-        each = windows(rows, size, *KINDS)
-        each = each.withColumn("window", F.explode_outer(hashes(KINDS)))
-        mine = items.filter(F.col("size") == size)
-        met = each.join(F.broadcast(mine) if bounded else mine, "window")
-        met = met.filter(reduce(Column.__or__, [(F.col("form") == k) & (F.col("window") == F.col(f"h{k}")) for k in KINDS]))
-        met = met.filter((F.col("item_at") > 0) | (F.col("form") == OPENED) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == at("w", 0)))
-        met = met.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", F.col("at").alias("doc_at"), "item_template", "item_words", F.array(*(at("w", i) for i in range(size))).alias("doc_words"))
-        found = met if found is None else found.unionByName(met)
-    if found is None:
-        return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows int, n_matched int, coverage double, n_slots int, same_values boolean")
+    met = meetings(rows, items, sizes, items.count() <= BROADCAST_WINDOWS)
     slots = F.filter(F.arrays_zip(F.col("item_template").alias("type"), F.col("item_words").alias("item"), F.col("doc_words").alias("doc")), lambda x: x["type"].isin(NUMBER, NAME, UNIT))
     no_name = F.exists(slots, lambda x: (x["type"] == NAME) & (x["item"] != x["doc"]) & (x["item"].isin(OPENERS) | x["doc"].isin(OPENERS)))
+    head = (F.col("item_at") > 0) | (F.col("form") == OPENED) | (F.get("item_template", F.lit(0)) != NAME) | (F.get("item_words", F.lit(0)) == F.get("doc_words", F.lit(0)))
     # A flag, since a filter would be pushed to the join and leave generated code with whole documents in each row.
-    counts = (F.col("form") != OPENED) | (~no_name & (F.size(slots) < F.size("item_template")))
-    found = found.select("doc_id", "text_hash", "item_id", "n_windows", "form", "item_at", (F.col("doc_at") - F.col("item_at")).alias("offset"), slots.alias("slots"), counts.alias("counts"))
+    counts = head & ((F.col("form") != OPENED) | (~no_name & (F.size(slots) < F.size("item_template"))))
+    pair = ["doc_id", "text_hash", "item_id", "n_windows"]
+    found = met.select(*pair, "form", "item_at", (F.col("at") - F.col("item_at")).alias("offset"), slots.alias("slots"), counts.alias("counts"))
     # One alignment has a row for each form of each window of its item at most.
-    aligned = found.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset", "form").agg(F.collect_set(F.when(F.col("counts"), F.col("item_at"))).alias("at"), F.array_distinct(F.flatten(F.collect_set(F.when(F.col("counts"), F.col("slots"))))).alias("slots"))
-    n = F.size("slots")
-    one_to_one = (n == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["type"], x["item"]))))) & (n == F.size(F.array_distinct(F.transform("slots", lambda x: F.struct(x["type"], x["doc"])))))
-    same = F.forall("slots", lambda x: x["item"] == x["doc"])
-    judged = aligned.select("doc_id", "text_hash", "item_id", "n_windows", "offset", F.when(one_to_one, F.col("at")).otherwise(F.array().cast("array<int>")).alias("at"), F.when(one_to_one, n).otherwise(0).alias("n_slots"), same.alias("same"))
-    # Forms of one alignment add up; its values are the same if they are in every form.
-    one = judged.groupBy("doc_id", "text_hash", "item_id", "n_windows", "offset").agg(F.flatten(F.collect_list("at")).alias("at"), F.max("n_slots").alias("n_slots"), F.min("same").alias("same"))
-    one = one.select("doc_id", "text_hash", "item_id", "n_windows", F.explode("at").alias("at"), "n_slots", "same")
-    each = one.groupBy("doc_id", "text_hash", "item_id", "n_windows").agg(F.count_distinct("at").cast("int").alias("n_matched"), F.max("n_slots").alias("n_slots"), F.max("same").alias("same_values"))
-    return each.withColumn("coverage", F.col("n_matched") / F.col("n_windows")).filter(F.col("coverage") >= coverage).select("doc_id", "text_hash", "item_id", "n_windows", "n_matched", "coverage", "n_slots", "same_values")
+    aligned = found.groupBy(*pair, "offset", "form").agg(F.collect_set(F.when(F.col("counts"), F.col("item_at"))).alias("at"), F.array_distinct(F.flatten(F.collect_set(F.when(F.col("counts"), F.col("slots"))))).alias("slots"))
+    keys = lambda xs: F.array_distinct(F.transform(xs, lambda x: F.struct(x["type"], x["item"])))
+    aligned = aligned.filter((F.size("at") > 0) & (F.size("slots") == F.size(keys(F.col("slots")))))
+    ranked = aligned.groupBy(*pair).agg(F.array_sort(F.collect_list(F.struct((-F.size("at")).alias("rank"), "offset", "form", "slots", "at"))).alias("found"))
+    # The first alignment with an item's value gives its counterpart; keys and slots are those of one item.
+    all_slots = F.flatten(F.transform("found", lambda a: a["slots"]))
+    given = ranked.withColumn("all", all_slots).withColumn("given", F.transform(keys(F.col("all")), lambda k: F.get(F.filter("all", lambda x: (x["type"] == k["type"]) & (x["item"] == k["item"])), F.lit(0))))
+    agreed = given.withColumn("agreed", F.filter("found", lambda a: F.forall(a["slots"], lambda x: F.array_contains(F.col("given"), x))))
+    kept = F.array_distinct(F.flatten(F.transform("agreed", lambda a: a["slots"])))
+    each = agreed.select(*pair, F.size(F.array_distinct(F.flatten(F.transform("agreed", lambda a: a["at"])))).alias("n_matched"), kept.alias("kept"))
+    each = each.withColumns({"coverage": F.col("n_matched") / F.col("n_windows"), "n_slots": F.size("kept"), "same_values": F.forall("kept", lambda x: x["item"] == x["doc"])})
+    return each.filter(F.col("coverage") >= coverage).select(*pair, "n_matched", "coverage", "n_slots", "same_values")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE) -> DataFrame:
     """The documents that leak no item, with all their columns."""
-    bad = leaks(docs, benchmark, window, coverage).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct().checkpoint()
+    bad = leaks(docs, benchmark, window, coverage).select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct().checkpoint()
     right = F.broadcast(bad) if bad.count() <= BROADCAST_ROWS else bad
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(right, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash")), "left_anti")
+    rows = packed(docs, F.col("doc_id").cast("long").alias("id"), text_hash.alias("hash"))
+    kept = rows.join(right, F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash")), "left_anti")
+    return unpacked(kept, docs.columns)
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

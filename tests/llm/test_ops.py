@@ -356,8 +356,37 @@ def test_decontamination(spark):
     items = spark.createDataFrame([(1, "Tom had 12 apples and gave 5 to Anna, so how many apples does Tom have left of the 12 now ok"), (2, None), (3, "short one")], "item_id long, text string")
     docs = frame(spark, [*EDGES, (1, "x y. Zed had 30 apples and gave 7 to Mary, so how many apples does Zed have left of the 30 now ok yes"), (2, "Zed had 30 apples and gave 7 to Mary, so how many apples does Zed have left of the 31 now ok yes"), (3, "a short one here")])
     got = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(docs, items).collect()}
-    assert got == {(1, 1), (3, 3)}
-    assert decontamination.decontaminate(docs, items).count() == len(EDGES) + 1
+    assert got == {(1, 1)}
+    assert [x["item_id"] for x in decontamination.too_short(items).orderBy("item_id").collect()] == [2, 3]
+    kept = decontamination.decontaminate(docs.withColumns({"_id": F.lit(1), "hash": F.lit(2)}), items)
+    assert kept.count() == len(EDGES) + 2 and kept.columns == ["doc_id", "text", "shard", "_id", "hash"]
+    none = items.limit(0)
+    assert decontamination.decontaminate(docs, none).count() == len(EDGES) + 3 and decontamination.leaks(docs.limit(0), items).count() == 0
+
+
+def test_decontamination_slots(spark):
+    """The item's values determine the document's, over all that counts; too little wording matches nothing."""
+    asked = "What is the sum of {} and {} if we add them all up twice?"
+    split = "Tom had {} apples and put all of them into the old basket. Then he gave {} of the apples to Anna and kept the others; at last {} apples were left in there"
+    items = spark.createDataFrame([(1, asked.format(3, 5)), (2, asked.format(3, 3)), (3, "Why?"), (4, "12 30 5"), (5, split.format(12, 5, 12))], "item_id long, text string")
+    docs = [(1, asked.format(4, 4)), (2, asked.format(7, 9)), (3, asked.format("seven", 9)), (4, "Why? " + "12 30 5 " * 4), (5, split.format(20, 5, 20)), (6, split.format(20, 5, 30)), (7, split.format(20, 5, 30).replace("basket.", "basket, as one does now and then."))]
+    rows = {(x["doc_id"], x["item_id"]): x["coverage"] for x in decontamination.leaks(frame(spark, docs), items).collect()}
+    assert set(rows) == {(1, 1), (1, 2), (2, 1), (3, 1), (5, 5)}
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_decontamination_by_exchange(monkeypatch, spark, limit):
+    """A benchmark or a list of leaks too large to broadcast gives the same."""
+    r = random.Random(11)
+    items = [(i, " ".join(f"w{r.randint(0, 40)}" for _ in range(r.randint(6, 20)))) for i in range(30)]
+    docs = [(i, " ".join(f"w{r.randint(0, 40)}" for _ in range(5)) + f" {items[i % 30][1]} " + r.choice(("x", "y z"))) for i in range(90)] + EDGES
+    df, benchmark = frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, decontamination.leaks(df, benchmark).collect()))
+    kept = decontamination.decontaminate(df, benchmark).count()
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", limit)
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", limit)
+    assert sorted(map(tuple, decontamination.leaks(df, benchmark).collect())) == want and len(want) >= 85
+    assert decontamination.decontaminate(df, benchmark).count() == kept == len(EDGES) + 90 - len({w[0] for w in want})
 
 
 def test_decontamination_in_other_case_and_lines(spark):
@@ -371,43 +400,70 @@ def test_decontamination_in_other_case_and_lines(spark):
 
 def test_decontamination_of_names_that_open_sentences(spark):
     text = "Tom had 12 apples and put all of them into the basket. Anna gave 7 of her own apples to the boy and then took the rest of them home"
-    items = spark.createDataFrame([(1, text), (2, "Anna saw 9 of the red birds fly by"), (3, "Anna saw 9 birds"), (4, "What is it about?")], "item_id long, text string")
-    docs = [(1, text.replace("Anna", "Mary")), (2, "It rained. Omar saw 8 of the red birds fly by"), (3, "It rained. Omar saw 8 birds"), (4, "That is it about."), (5, text.replace("Anna", "Mary").replace("7", "12"))]
+    items = spark.createDataFrame([(1, text), (2, "Anna saw 9 of the red birds fly by"), (3, "Anna saw 9 birds high up there"), (4, "What is it about these days?")], "item_id long, text string")
+    docs = [(1, text.replace("Anna", "Mary")), (2, "It rained. Omar saw 8 of the red birds fly by"), (3, "It rained. Omar saw 8 birds high up there"), (4, "That is it about these days."), (5, text.replace("Anna", "Mary").replace("12", "7").replace("home", "home again 12").replace("7 apples", "12 apples", 1)), (6, text.replace("Anna", "Mary").replace("7", "12"))]
     got = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(frame(spark, docs), items).collect()}
-    assert got == {(1, 1), (2, 2), (3, 3)}
+    assert got == {(1, 1), (2, 2), (3, 3), (5, 1), (6, 1)}
 
 
 def brute_leaks(docs, items, window=8, coverage=0.8):
-    """Pairs (document's place, item) by comparing every window with every window."""
+    """Pairs (document's place, item) by comparing every window with every window in each form."""
     import regex
 
-    number, name, unit = decontamination.NUMBER, decontamination.NAME, decontamination.UNIT
+    d = decontamination
+    slot = (d.NUMBER, d.NAME, d.UNIT)
 
     def parse(text):
         w = regex.sub(r"[^\p{L}\p{N}]+", " ", text).lower().split()
-        t = regex.sub(r"(?<![\p{L}\p{N}])[0-9]+(?![\p{L}\p{N}])", number, text)
-        t = regex.sub(rf"(?i)(?<={number} )(?:{decontamination.UNITS})(?![\p{{L}}\p{{N}}])", unit, t)
-        t = regex.sub(r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", name, t)
-        return w, regex.sub(rf"[^\p{{L}}\p{{N}}{number}{name}{unit}]+", " ", t).lower().split()
+        t = regex.sub(r"\s+", " ", text)
+        t = regex.sub(r"(?<![\p{L}\p{N}])[0-9]+(?![\p{L}\p{N}])", d.NUMBER, t)
+        t = regex.sub(r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", d.NAME, t)
+        t = regex.sub(r"((?:^|[.?]) ?)\p{Lu}\p{L}*+(?![\p{N}])", r"\1" + d.OPEN, t)
+        t = regex.sub(rf"[^\p{{L}}\p{{N}}{d.NUMBER}{d.NAME}{d.UNIT}{d.OPEN}]+", " ", t).lower().split()
+        number = [x == d.NUMBER or x in d.NUMBERS for x in t]
+        t = [d.NUMBER if n else d.UNIT if x in d.UNITS and i and number[i - 1] else x for i, (x, n) in enumerate(zip(t, number, strict=True))]
+        return w, t
+
+    def formed(kind, w, t):
+        if kind == d.PLAIN:
+            return w
+        words = {d.COUNTED: (d.OPEN, d.NAME), d.NAMED: (d.OPEN,), d.OPENED: ()}[kind]
+        return [a if b in words else d.NAME if b == d.OPEN else b for a, b in zip(w, t, strict=True)]
 
     out = set()
+    parsed = [parse(body or "") for _, body in docs]
     for item, text in items:
         iw, it = parse(text or "")
+        if sum(x not in (*slot, d.OPEN) for x in it) < d.LITERALS:
+            continue
         size = min(window, len(it))
         n = len(it) - size + 1
-        heads = [it, [name, *it[1:]]] if regex.match(r" *\p{Lu}\p{L}*+(?![\p{N}])", text or "") else [it]
-        for k, (_, body) in enumerate(docs):
-            dw, dt = parse(body or "")
+        views = [(k, formed(k, iw, it), n) for k in d.KINDS]
+        if regex.match(r" *\p{Lu}\p{L}*+(?![\p{N}])", text or ""):
+            views.append((d.NAMED, formed(d.NAMED, iw, [d.NAME, *it[1:]]), 1))
+        for k, (dw, dt) in enumerate(parsed):
             found = {}
-            for head in heads if size else []:
-                for i in range(n if head is it else 1):
+            for kind, head, many in views:
+                body = formed(kind, dw, dt)
+                for i in range(many):
                     for j in range(len(dt) - size + 1):
-                        if head[i : i + size] == dt[j : j + size] and (head is it or iw[0] == dw[j]):
-                            at, slots = found.setdefault(j - i, (set(), set()))
-                            at.add(i)
-                            slots |= {(t, a, b) for t, a, b in zip(head[i : i + size], iw[i : i + size], dw[j : j + size], strict=True) if t in (number, name, unit)}
-            good = [at for at, slots in found.values() if len(slots) == len({x[:2] for x in slots}) == len({(t, b) for t, _, b in slots})]
-            if good and len(set.union(*good)) >= coverage * n:
+                        if head[i : i + size] != body[j : j + size]:
+                            continue
+                        slots = {(t, a, b) for t, a, b in zip(head[i : i + size], iw[i : i + size], dw[j : j + size], strict=True) if t in slot}
+                        if i == 0 and kind != d.OPENED and head[0] == d.NAME and iw[0] != dw[j]:
+                            continue
+                        if kind == d.OPENED and (sum(t in slot for t in head[i : i + size]) == size or any(t == d.NAME and a != b and (a in d.OPENERS or b in d.OPENERS) for t, a, b in slots)):
+                            continue
+                        at, held = found.setdefault((j - i, kind), (set(), set()))
+                        at.add(i)
+                        held |= slots
+            good = sorted((-len(at), offset, kind, at, slots) for (offset, kind), (at, slots) in found.items() if len(slots) == len({x[:2] for x in slots}))
+            given = {}
+            for *_, slots in good:
+                for t, a, b in slots:
+                    given.setdefault((t, a), b)
+            counted = [at for *_, at, slots in good if all(given[t, a] == b for t, a, b in slots)]
+            if counted and len(set.union(*counted)) >= coverage * n:
                 out.add((k, item))
     return out
 
@@ -418,24 +474,26 @@ def test_decontamination_by_brute_force(spark):
     names, units = "Tom Anna Zed Mary Omar".split(), "km kg hours miles".split()
 
     def sentence(n):
-        out = [r.choice((*said, *said, str(r.randint(1, 40)) + " " + r.choice(units), r.choice(names))) for _ in range(n)]
+        out = [r.choice((*said, *said, str(r.randint(1, 40)) + " " + r.choice(units), r.choice(names), "seven", "dos km")) for _ in range(n)]
         return " ".join([out[0].capitalize(), *out[1:]]) + r.choice((".", "?", ""))
 
-    items = [(i, sentence(r.randint(3, 30))) for i in range(25)] + [(90, None), (91, ""), (92, "What is it?")]
+    items = [(i, sentence(r.randint(3, 15)) + " " + sentence(r.randint(1, 15))) for i in range(25)] + [(90, None), (91, ""), (92, "What is it?")]
     docs = []
     for i in range(150):
         text = items[r.randrange(25)][1]
         if r.random() < 0.5:
-            text = re.sub("[0-9]+", lambda m: str((int(m[0]) * 7) % 41), text)
+            text = re.sub("[0-9]+", lambda m: str((int(m[0]) * 7) % r.choice((41, 5))), text)
         if r.random() < 0.3:
             text = text.replace("Tom", "Lea").replace(r.choice(names), "Tom")
         if r.random() < 0.3:
             text = text[: r.randint(1, len(text))]
+        if r.random() < 0.3:
+            text = f"{text} {sentence(3)} {text}"
         docs.append((i, f"{sentence(r.randint(2, 9))} {text} {sentence(r.randint(2, 9))}"))
     docs += [(150, "so what is it now"), (151, "so What is it"), (152, None), (153, "")]
     got = {(x["doc_id"], x["item_id"]) for x in decontamination.leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
     want = brute_leaks(docs, items)
-    assert got == want and len(want) > 60 and {(150, 92), (151, 92)} <= want
+    assert got == want and len(want) > 60
 
 
 def test_quality_edges(spark):
