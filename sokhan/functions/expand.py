@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from sokhan import tables as T
 from sokhan.functions import numbers as N
-from sokhan.functions.text import B0, B1, S, chain, substitute
+from sokhan.functions.text import B0, B1, S, chain, guarded, substitute
 
 Z = T.ZWNJ
 GUARD = f"[\\u0600-\\u06FFA-Za-z{Z}]"
@@ -21,9 +24,8 @@ def part(m: Column, pattern: str, k: int) -> Column:
 
 def abbreviations(text: Column) -> Column:
     """Whole abbreviations only: no letter or joiner on either side."""
-    for short in sorted(T.ABBREVIATIONS, key=len, reverse=True):
-        text = F.regexp_replace(text, f"(?<!{GUARD}){re.escape(short)}(?!{GUARD})", f" {T.ABBREVIATIONS[short]} ")
-    return text
+    rules = [(f"(?<!{GUARD}){re.escape(short)}(?!{GUARD})", f" {T.ABBREVIATIONS[short]} ") for short in sorted(T.ABBREVIATIONS, key=len, reverse=True)]
+    return guarded(text, "|".join(map(re.escape, T.ABBREVIATIONS)), lambda t: chain(t, *rules))
 
 
 def thousands(text: Column) -> Column:
@@ -145,11 +147,19 @@ ORDER = {
 }
 
 
-def steps(decimal_style: str = "momayez", skip: frozenset[str] = frozenset()):
-    """The expanders to apply, in order."""
-    for name, fn in ORDER.items():
-        if name not in skip:
-            yield (lambda t, fn=fn: fn(t, decimal_style)) if name == "decimals" else fn
+#: Steps that change nothing in a text without digits.
+DIGITS_ONLY = set(ORDER) - {"abbreviations", "units"}
+
+
+def steps(decimal_style: str = "momayez", skip: frozenset[str] = frozenset()) -> Iterator[Callable[[Column], Column]]:
+    """The expanders to apply, in order; those in a row that need digits share one search for them."""
+    kept = [n for n in ORDER if n not in skip]
+    for digits, names in groupby(kept, DIGITS_ONLY.__contains__):
+        fns = [partial(ORDER[n], style=decimal_style) if n == "decimals" else ORDER[n] for n in names]
+        if digits:
+            yield lambda text, fns=fns: guarded(text, "[0-9]", lambda t: reduce(lambda x, fn: fn(x), fns, t))
+        else:
+            yield from fns
 
 
 def expand(text: Column, decimal_style: str = "momayez", skip: frozenset[str] = frozenset()) -> Column:

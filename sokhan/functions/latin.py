@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sokhan import tables as T
-from sokhan.functions.text import let, substitute
+from sokhan.functions.text import let
 
 TOKEN = "[A-Za-z][A-Za-z0-9'.-]*"
 STRATEGIES = ("escalate", "lexicon", "transliterate")
@@ -47,31 +47,47 @@ def is_acronym(token: Column) -> Column:
     return F.regexp_like(token, F.lit("^[A-Z]{2,6}$"))
 
 
-def known(token: Column, lexicon: dict[str, str]) -> Column:
-    """A token's reading in the lexicon, or the name of a lone letter; null if there is none."""
-    # The membership test is a hash lookup, the map's a scan.
-    return let(key_of(token), lambda k: F.when(k.isin(*lexicon), lookup(lexicon, k)).when(F.length(k) == 1, lookup(T.LETTER_NAMES, k)))
+def readings(text: Column, lexicon: dict[str, str] | None = None) -> Column:
+    """Each Latin token in order as (token, key, said); said is null where the lexicon doesn't know it."""
+    table = T.LATIN_WORDS | {k.lower(): v for k, v in (lexicon or {}).items()}
+
+    def one(token: Column) -> Column:
+        # The membership test is a hash lookup, the map's a scan.
+        said = lambda k: F.when(k.isin(*table), lookup(table, k)).when(F.length(k) == 1, lookup(T.LETTER_NAMES, k))
+        return let(key_of(token), lambda k: F.struct(token.alias("token"), k.alias("key"), said(k).alias("said")))
 
+    return F.transform(tokens(text), one)
 
-def resolve(text: Column, strategy: str = "escalate", lexicon: dict[str, str] | None = None) -> Column:
-    """Each Latin token as the strategy says; the lexicon strategy spells acronyms too, like escalate."""
+
+def resolved(text: Column, found: Column, strategy: str = "escalate") -> Column:
+    """The text with its tokens, found by readings(), as the strategy says; the lexicon strategy spells acronyms too, like escalate."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy is one of {STRATEGIES}")
-    table = T.LATIN_WORDS | {k.lower(): v for k, v in (lexicon or {}).items()}
 
-    def one(token: Column) -> Column:
-        key = key_of(token)
-        last = transliterate(key) if strategy == "transliterate" else F.concat(F.lit("{"), key, F.lit("}"))
-        return F.coalesce(known(token, table), F.when(is_acronym(token), spell(token)).otherwise(last))
+    def one(piece: Column, x: Column) -> Column:
+        last = transliterate(x["key"]) if strategy == "transliterate" else F.concat(F.lit("{"), x["key"], F.lit("}"))
+        word = F.coalesce(x["said"], F.when(is_acronym(x["token"]), spell(x["token"])).otherwise(last))
+        return F.concat(piece, F.when(x.isNull(), F.lit("")).otherwise(word))
+
+    return F.when(F.size(found) > 0, F.array_join(F.zip_with(F.split(text, TOKEN, -1), found, one), "")).otherwise(text)
 
-    return substitute(text, TOKEN, one)
+
+def unresolved(found: Column) -> Column:
+    """Tokens of readings() that the lexicon doesn't know: acronyms as they stand, others by key."""
+    missing = F.filter(found, lambda x: x["said"].isNull())
+    return F.transform(missing, lambda x: F.when(is_acronym(x["token"]), x["token"]).otherwise(x["key"]))
+
+
+def resolve(text: Column, strategy: str = "escalate", lexicon: dict[str, str] | None = None) -> Column:
+    """Each Latin token as the strategy says."""
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy is one of {STRATEGIES}")
+    return let(text, lambda t: let(readings(t, lexicon), lambda found: resolved(t, found, strategy)))
 
 
 def unknown(text: Column, lexicon: dict[str, str] | None = None) -> Column:
     """Unresolved tokens: acronyms as they stand, others by key."""
-    table = T.LATIN_WORDS | {k.lower(): v for k, v in (lexicon or {}).items()}
-    missing = F.filter(tokens(text), lambda t: known(t, table).isNull())
-    return F.transform(missing, lambda t: F.when(is_acronym(t), t).otherwise(key_of(t)))
+    return let(readings(text, lexicon), unresolved)
 
 
 def work_queue(df: DataFrame, text_col: str = "text", top: int = 200, lexicon: dict[str, str] | None = None) -> DataFrame:

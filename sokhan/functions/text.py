@@ -66,6 +66,11 @@ def substitute(text: Column, pattern: str, fn: Callable[[Column], Column]) -> Co
     return let(text, run)
 
 
+def guarded(text: Column, pattern: str, fn: Callable[[Column], Column]) -> Column:
+    """fn(text) where the pattern occurs; a text without it is left as it is, for the price of one search."""
+    return let(text, lambda t: F.when(F.regexp_like(t, F.lit(pattern)), fn(t)).otherwise(t))
+
+
 def strip(text: Column) -> Column:
     """Without blanks at either end."""
     return F.regexp_replace(text, f"^{S}+|{S}+$", "")
@@ -80,6 +85,14 @@ def _nfc(texts: pa.Array) -> pa.Array:
 #: result, but the optimizer would move a deterministic one into a lambda function,
 #: where Python can't be called, and evaluate it once for each use.
 nfc = _nfc.asNondeterministic()
+#: Characters that neither change under composition nor join with one before: Latin letters
+#: and signs, Arabic letters and digits, general punctuation.
+COMPOSED = "\\u0000-\\u02FF\\u060C\\u061B\\u061F\\u0621-\\u064A\\u0660-\\u066F\\u0671-\\u06D5\\u06EE-\\u06FF\\u2002-\\u205F\\u20A0-\\u20BF\\u25A0-\\u25FF\\uE000-\\uF8FF\\uFDFC"
+
+
+def composed(text: Column) -> Column:
+    """Canonical composition; only texts that it could change are sent to Python. text is a plain column."""
+    return F.coalesce(nfc(F.when(F.regexp_like(text, F.lit(f"[^{COMPOSED}]")), text)), text)
 
 
 def presentation_forms(text: Column) -> Column:
@@ -195,6 +208,10 @@ def repair_joiners(text: Column) -> Column:
 
 def separate_scripts(text: Column) -> Column:
     """A blank where Latin letters or digits touch Persian letters."""
+    return guarded(text, f"[{ranges(T.LETTERS_FA)}]", _separated)
+
+
+def _separated(text: Column) -> Column:
     return F.regexp_replace(text, f"(?<=[A-Za-z0-9])(?=[{ranges(T.LETTERS_FA)}])|(?<=[{ranges(T.LETTERS_FA)}])(?=[A-Za-z0-9])", " ")
 
 
@@ -225,4 +242,4 @@ def problems(text: Column) -> Column:
         return F.when(c.isin(*harakat), F.array_compact(F.array(first, second))).otherwise(F.array().cast("array<string>"))
 
     marks = let(chars, lambda cs: F.flatten(F.transform(cs, lambda c, i: judge(c, i, F.when(i > 0, F.get(cs, i - 1)).otherwise(F.lit(""))))))
-    return F.concat(F.when(has_marks(text), marks).otherwise(F.array().cast("array<string>")), F.when(nfc(text) != text, F.array(F.lit("not_nfc"))).otherwise(F.array().cast("array<string>")))
+    return F.concat(F.when(has_marks(text), marks).otherwise(F.array().cast("array<string>")), F.when(composed(text) != text, F.array(F.lit("not_nfc"))).otherwise(F.array().cast("array<string>")))

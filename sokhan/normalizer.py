@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sokhan import tables
 from sokhan.functions import expand, latin, marks, numbers, text
-from sokhan.functions.text import FIRST_PRIVATE, LAST_PRIVATE, let, nfc, substitute
+from sokhan.functions.text import FIRST_PRIVATE, LAST_PRIVATE, let, substitute
 
 ESCAPE = r"\{[^{}]{1,64}\}"
 
@@ -57,42 +57,41 @@ def protect(t: Column, held: Column) -> Column:
 
 
 def private(i: Column) -> Column:
-    """The private-use character of a number, by its UTF-8 bytes."""
-    code = i + FIRST_PRIVATE
-    byte = lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")
-    bytes3 = F.concat(byte(F.shiftright(code, 12) + 0xE0), byte(F.shiftright(code, 6) % 64 + 0x80), byte(code % 64 + 0x80))
-    return F.decode(F.unhex(bytes3), "UTF-8")
-
+    """The private-use character of a number; the list is folded to one literal."""
+    return F.get(F.split(F.lit("".join(map(chr, range(FIRST_PRIVATE, LAST_PRIVATE + 1)))), ""), i)
 
 
 def restore(t: Column, held: Column) -> Column:
     """Escapes in place of their characters; others of these characters go."""
-
-    def one(c: Column) -> Column:
-        b = F.hex(F.encode(c, "UTF-8"))
-        byte = lambda k: F.conv(F.substring(b, k, 2), 16, 10).cast("int")
-        i = (byte(1) - 0xE0) * 4096 + (byte(3) - 0x80) * 64 + byte(5) - 0x80 - FIRST_PRIVATE
-        return F.coalesce(F.get(held, i), F.lit(""))
-
-    return substitute(t, f"[{text.PRIVATE}]", one)
+    return substitute(t, f"[{text.PRIVATE}]", lambda c: F.coalesce(F.get(held, F.ascii(c) - FIRST_PRIVATE), F.lit("")))
 
 
 def normalized(df: DataFrame, text_col: str = "text", config: Config = Config(), lexicon: dict[str, str] | None = None, out: str = "norm") -> DataFrame:
     """df with a struct: text, raw, changed, unexpected, diacritic_density, n_words, problems, latin_unknown.
 
     Steps are columns of their own, so that none is evaluated twice; they are
-    dropped at the end. Null texts give an empty text, flagged.
+    dropped at the end, and named as no column of df is. Null texts give an empty text, flagged.
     """
-    c = F.col(text_col)
-    t, held = F.col("_t"), F.col("_h")
-    df = df.withColumn("_p", protect(F.coalesce(c.cast("string"), F.lit("")), F.array().cast("array<string>")))
-    df = df.select("*", F.col("_p.text").alias("_t"), F.col("_p.held").alias("_h")).drop("_p")
+    own = "_"
+    while any(c.startswith(own) for c in df.columns):
+        own += "_"
+    c, names = F.col(text_col), {k: own + k for k in ("text", "held", "pair", "found", "odd", "clean", "problems", "density", "words")}
+    t, held = F.col(names["text"]), F.col(names["held"])
 
-    def step(fn, *args) -> None:
+    def put(**columns: Column) -> None:
         nonlocal df
-        df = df.withColumn("_t", fn(t, *args))
+        df = df.withColumns({names[k]: v for k, v in columns.items()})
+
+    def get(k: str) -> Column:
+        return F.col(names[k])
+
+    def step(fn, *args) -> None:
+        put(text=fn(t, *args))
 
-    step(lambda x: nfc(text.presentation_forms(x)))
+    put(pair=protect(F.coalesce(c.cast("string"), F.lit("")), F.array().cast("array<string>")))
+    put(text=get("pair")["text"], held=get("pair")["held"])
+    step(text.presentation_forms)
+    step(text.composed)
     step(lambda x: text.fold(text.remove_invisibles(x)))
     if config.drop_foreign_marks:
         step(text.drop_foreign_marks)
@@ -104,30 +103,29 @@ def normalized(df: DataFrame, text_col: str = "text", config: Config = Config(),
         for fn in expand.steps(config.decimal_style, config.skip_expansions):
             step(fn)
         step(text.separate_scripts)
-    df = df.withColumn("_u", latin.unknown(t, lexicon))
-    step(latin.resolve, config.latin_strategy, lexicon)
-    df = df.withColumn("_p", protect(t, held))
-    df = df.withColumns({"_t": F.col("_p.text"), "_h": F.col("_p.held")}).drop("_p")
+    put(found=latin.readings(t, lexicon))
+    step(latin.resolved, get("found"), config.latin_strategy)
+    put(pair=protect(t, held))
+    put(text=get("pair")["text"], held=get("pair")["held"])
     step(text.cleanup)
     if config.repair_joiners:
         step(text.repair_joiners)
     step(text.fix_spacing)
-    step(nfc)
-    df = df.withColumn("_x", text.unexpected(t, config.keep_harakat))
+    step(text.composed)
+    put(odd=text.unexpected(t, config.keep_harakat))
     if config.strip_unknown:
         # Only texts with a foreign character are tidied a second time.
-        df = df.withColumn("_c", F.when(F.size("_x") > 0, F.regexp_replace(t, text.foreign_class(config.keep_harakat), " ")))
-        df = df.withColumn("_c", text.fix_spacing(text.cleanup(F.col("_c")))).withColumn("_t", F.coalesce("_c", t)).drop("_c")
-    df = df.withColumn("_t", restore(t, held))
+        put(clean=F.when(F.size(get("odd")) > 0, F.regexp_replace(t, text.foreign_class(config.keep_harakat), " ")))
+        put(text=F.coalesce(text.fix_spacing(text.cleanup(get("clean"))), t))
+    step(restore, held)
     none = F.array().cast("array<string>")
-    found = text.problems(t) if config.keep_harakat else none
-    df = df.withColumns({"_q": found, "_d": text.word_density(t), "_n": F.size(text.words(t))})
+    put(problems=text.problems(t) if config.keep_harakat else none, density=text.word_density(t), words=F.size(text.words(t)))
     result = F.struct(
         t.alias("text"), c.cast("string").alias("raw"), F.coalesce(t != c.cast("string"), F.lit(False)).alias("changed"),
-        F.when(c.isNull(), F.array(F.lit("non_str_input"))).otherwise(F.col("_x")).alias("unexpected"),
-        F.col("_d").alias("diacritic_density"), F.col("_n").alias("n_words"), F.col("_q").alias("problems"), F.col("_u").alias("latin_unknown"),
+        F.when(c.isNull(), F.array(F.lit("non_str_input"))).otherwise(get("odd")).alias("unexpected"),
+        get("density").alias("diacritic_density"), get("words").alias("n_words"), get("problems").alias("problems"), latin.unresolved(get("found")).alias("latin_unknown"),
     )
-    return df.withColumn(out, result).drop("_t", "_h", "_u", "_x", "_q", "_d", "_n")
+    return df.withColumn(out, result).drop(*names.values())
 
 
 def ok(norm: Column) -> Column:
@@ -136,17 +134,17 @@ def ok(norm: Column) -> Column:
 
 
 def not_idempotent(df: DataFrame, text_col: str = "text", config: Config = Config()) -> DataFrame:
-    """Rows whose normalized text changes when normalized again."""
-    once = normalized(df, text_col, config).withColumn("_once", F.col("norm.text"))
-    return normalized(once.drop("norm"), "_once", config, out="again").filter(F.col("again.text") != F.col("_once")).drop("again", "_once")
+    """Rows whose normalized text changes when normalized again, with both results (norm, again)."""
+    once = normalized(df, text_col, config)
+    return normalized(once, "norm.text", config, out="again").filter(F.col("again.text") != F.col("norm.text"))
 
 
 def selftest(df: DataFrame, text_col: str = "text", config: Config = Config()) -> DataFrame:
     """One row of counts: texts, empty, not idempotent, with unexpected characters, with problems."""
-    once = normalized(df, text_col, config).select(F.col("norm").alias("first")).withColumn("_once", F.col("first.text"))
-    twice = normalized(once, "_once", config)
-    empty = text.strip(F.col("_once")) == ""
+    once = normalized(df, text_col, config, out="first").select("first")
+    twice, said = normalized(once, "first.text", config), F.col("first.text")
+    empty = text.strip(said) == ""
     return twice.agg(
-        F.count("*").alias("n"), F.count_if(empty).alias("empty"), F.count_if(~empty & (F.col("norm.text") != F.col("_once"))).alias("idempotent"),
+        F.count("*").alias("n"), F.count_if(empty).alias("empty"), F.count_if(~empty & (F.col("norm.text") != said)).alias("idempotent"),
         F.count_if(~empty & (F.size("first.unexpected") > 0)).alias("unexpected"), F.count_if(~empty & (F.size("first.problems") > 0)).alias("problems"),
     )

@@ -104,8 +104,8 @@ def result_gate(g: Gates, norm_text: Column, n_words: Column, duration: Column |
     return first_of(*gates)
 
 
-def with_gate(df: DataFrame, g: Gates, text_col: str, config=None, duration: str | None = None, fields: list[str] = (), error: str | None = None) -> DataFrame:
-    """df with norm and gate. Rows that fail a source gate have no norm: they are not normalized."""
+def with_gate(df: DataFrame, g: Gates, text_col: str, config=None, duration: str | None = None, fields: list[str] = (), error: str | None = None, missing_audio: str | None = None) -> DataFrame:
+    """df with norm and gate, in one pass. Rows that fail a source gate have no norm: they are not normalized."""
     from sokhan.normalizer import Config, normalized
 
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -113,6 +113,11 @@ def with_gate(df: DataFrame, g: Gates, text_col: str, config=None, duration: str
     values = {n: as_number(F.col(n), types.get(n)) for n in {*fields, *g.bounds}}
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     early = df.withColumn("gate", source_gate(g, text, values, F.col(error) if error else None, d))
-    kept = normalized(early.filter("gate is null"), text_col, config or Config())
-    kept = kept.withColumn("gate", result_gate(g, F.col("norm.text"), F.col("norm.n_words"), d))
-    return kept.unionByName(early.filter("gate is not null"), allowMissingColumns=True)
+    passed = "_passed"
+    while passed in df.columns:
+        passed = "_" + passed
+    # A null text costs the rules nothing.
+    rows = normalized(early.withColumn(passed, F.when(F.col("gate").isNull(), text)), passed, config or Config()).drop(passed)
+    norm = F.when(F.col("gate").isNull(), F.col("norm"))
+    late = result_gate(g, F.col("norm.text"), F.col("norm.n_words"), d, F.col(missing_audio) if missing_audio else None)
+    return rows.withColumns({"norm": norm, "gate": F.coalesce("gate", late)})

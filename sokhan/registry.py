@@ -13,7 +13,7 @@ from sokhan.functions import numbers as N
 from sokhan.normalizer import normalized, selftest
 from sokhan.operators import audit, report
 from sokhan.operators.gates import Gates, as_number, source_gate, with_gate
-from sokhan.session import expose_package, table
+from sokhan.session import expose_package, spread, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -267,14 +267,14 @@ def cost_curve(spark, d):
 
 @query()
 def normalize_documents(spark, d):
-    out = normalized(table(spark, d, "documents").select("doc_id", "text"))
+    out = normalized(spread(table(spark, d, "documents").select("doc_id", "text")))
     return out.select("doc_id", "norm.text", "norm.changed", "norm.unexpected", "norm.diacritic_density", "norm.n_words", "norm.problems")
 
 
 @query()
 def normalize_gated(spark, d):
     g = Gates(min_words=0, max_chars=2000)
-    return report.stage_counts(with_gate(table(spark, d, "documents").select("doc_id", "text"), g, "text"))
+    return report.stage_counts(with_gate(spread(table(spark, d, "documents").select("doc_id", "text")), g, "text"))
 
 
 @query()

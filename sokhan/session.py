@@ -25,3 +25,17 @@ def expose_package(spark: SparkSession) -> None:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the input tables; only Spark's reader touches the path."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+#: Input for each core below which rows are dealt anew: a file's splits follow its row groups, and a small file has few.
+SPREAD_BYTES = 64 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df evenly over all cores where it is small; larger inputs are left as they lie.
+
+    For operators whose work on a row outweighs its transfer by far.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(2 * cores) if size < cores * SPREAD_BYTES else df
