@@ -81,7 +81,7 @@ def phone(text: Column) -> Column:
 def amount(number: Column) -> Column:
     """Digits with an optional fraction."""
     i, f = (F.regexp_extract(number, "^([0-9]+)(?:[.٫]([0-9]+))?", k) for k in (1, 2))
-    return F.when(F.regexp_like(number, F.lit("[.٫]")), N.decimal(i, f)).otherwise(N.cardinal(N.whole(i)))
+    return F.when(F.regexp_like(number, F.lit("[.٫]")), N.decimal(i, f)).otherwise(N.read(N.whole(i)))
 
 
 def currency(text: Column) -> Column:
@@ -98,7 +98,7 @@ def currency(text: Column) -> Column:
 def percent(text: Column) -> Column:
     """The sign after a number, which may have a fraction, or before a whole one."""
     text = substitute(text, f"[0-9]+(?:[٫.][0-9]+)?{S}*[٪%]", lambda m: F.concat(amount(m), F.lit(" درصد")))
-    return substitute(text, f"[٪%]{S}*[0-9]+", lambda m: F.concat(N.cardinal(N.whole(F.regexp_extract(m, "[0-9]+", 0))), F.lit(" درصد")))
+    return substitute(text, f"[٪%]{S}*[0-9]+", lambda m: F.concat(N.read(N.whole(F.regexp_extract(m, "[0-9]+", 0))), F.lit(" درصد")))
 
 
 def units(text: Column) -> Column:
@@ -113,7 +113,10 @@ def fractions(text: Column) -> Column:
 
     def say(m: Column) -> Column:
         a, b = (N.whole(part(m, shape, k)) for k in (1, 2))
-        return F.when((b == 0) | (b > 1000) | (a > 1000), m).otherwise(N.fraction(a, b))
+        # Both are at most 1000, so at most four digits.
+        small = (F.length(a) <= 4) & (F.length(b) <= 4)
+        x, y = (F.when(small, v).try_cast("int") for v in (a, b))
+        return F.when(~small | (y == 0) | (y > 1000) | (x > 1000), m).otherwise(N.fraction(x, y))
 
     return substitute(text, f"{B0}{shape}{B1}", say)
 
@@ -121,14 +124,14 @@ def fractions(text: Column) -> Column:
 def ordinals(text: Column) -> Column:
     def say(m: Column) -> Column:
         n = N.whole(F.regexp_extract(m, "^[0-9]+", 0))
-        return F.when(F.contains(m, F.lit("مین")), N.ordinal(n, first_as_name=False)).otherwise(N.ordinal(n))
+        return F.when(F.contains(m, F.lit("مین")), N.read_ordinal(n, first_as_name=False)).otherwise(N.read_ordinal(n))
 
     return substitute(text, f"{B0}[0-9]+{S}*{Z}?(?:ام|مین){B1}", say)
 
 
 def ranges(text: Column) -> Column:
     shape = f"([0-9]+){S}*[-–—]{S}*([0-9]+)"
-    return substitute(text, shape, lambda m: F.concat(N.cardinal(N.whole(part(m, shape, 1))), F.lit(" تا "), N.cardinal(N.whole(part(m, shape, 2)))))
+    return substitute(text, shape, lambda m: F.concat(N.read(N.whole(part(m, shape, 1))), F.lit(" تا "), N.read(N.whole(part(m, shape, 2)))))
 
 
 def decimals(text: Column, style: str = "momayez") -> Column:
@@ -137,7 +140,7 @@ def decimals(text: Column, style: str = "momayez") -> Column:
 
 
 def integers(text: Column) -> Column:
-    return substitute(text, "[0-9]+", lambda m: N.cardinal(N.whole(m)))
+    return substitute(text, "[0-9]+", lambda m: N.read(N.whole(m)))
 
 
 #: The order matters: special shapes before those whose digits they share.

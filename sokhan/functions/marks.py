@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,12 @@ from sokhan import tables as T
 from sokhan.functions.text import WORD, count_marks, ends_with_ezafe, has_marks, let, problems, strip_marks, word_density
 
 
+def homographs(path: str) -> dict[str, list[str]]:
+    """Marked forms by bare word, from a JSON lexicon with a key ``homographs``; the words are a ``priority`` of mask."""
+    with open(path, encoding="utf-8") as f:
+        return {word: [x["form"] for x in forms] for word, forms in json.load(f)["homographs"].items()}
+
+
 def uniform(*parts: Column) -> Column:
     """A number in [0, 1) from a hash of the parts."""
     return F.pmod(F.xxhash64(*parts), F.lit(1 << 53)) / F.lit(float(1 << 53))

@@ -27,6 +27,11 @@ def below_thousand(n: Column) -> Column:
 
 def cardinal(n: Column) -> Column:
     """A whole number: BIGINT, or DECIMAL(38,0) up to 10^24; beyond that digit by digit."""
+    return read(n.cast("decimal(38,0)").cast("string"))
+
+
+def read(number: Column) -> Column:
+    """As cardinal, of a number in digits of any length, without zeros before it."""
     width = 3 * len(T.SCALES)
 
     def spelled(s: Column) -> Column:
@@ -46,11 +51,16 @@ def cardinal(n: Column) -> Column:
         bare = let(F.regexp_replace(s, "^-", ""), spelled)
         return F.when(s == "0", F.lit(T.ZERO)).otherwise(F.concat(F.when(F.startswith(s, F.lit("-")), F.lit(T.NEGATIVE + " ")).otherwise(F.lit("")), bare))
 
-    return let(n.cast("decimal(38,0)").cast("string"), signed)
+    return let(number, signed)
 
 
 def ordinal(n: Column, first_as_name: bool = True) -> Column:
     """The ordinal of a whole number; 1 alone has a name of its own if wanted."""
+    return read_ordinal(n.cast("decimal(38,0)").cast("string"), first_as_name)
+
+
+def read_ordinal(number: Column, first_as_name: bool = True) -> Column:
+    """As ordinal, of a number in digits."""
 
     def ended(w: Column) -> Column:
         cut = F.substring(w, F.lit(1), F.length(w) - 2)
@@ -61,8 +71,8 @@ def ordinal(n: Column, first_as_name: bool = True) -> Column:
             .otherwise(F.concat(w, F.lit("م")))
         )
 
-    out = let(cardinal(n), ended)
-    return F.when(n == 1, F.lit("اول")).otherwise(out) if first_as_name else out
+    out = let(read(number), ended)
+    return F.when(number == "1", F.lit("اول")).otherwise(out) if first_as_name else out
 
 
 def digits(s: Column) -> Column:
@@ -71,19 +81,19 @@ def digits(s: Column) -> Column:
 
 
 def whole(s: Column) -> Column:
-    """A run of digits as a number; null if there is none."""
-    return F.when(s != "", s).cast("decimal(38,0)")
+    """A run of digits without zeros before it, as text, so that it may be of any length; null if there is none."""
+    return F.when(s != "", F.regexp_replace(s, "^0+(?=[0-9])", ""))
 
 
 def decimal(integer: Column, fraction: Column, style: str = "momayez") -> Column:
     """Integer and fraction digits: after the point digit by digit, or as a share with a place's name."""
-    first = F.coalesce(cardinal(whole(integer)), F.lit(T.ZERO))
+    first = F.coalesce(read(whole(integer)), F.lit(T.ZERO))
     kept = F.coalesce(F.nullif(F.regexp_replace(fraction, "0+$", ""), F.lit("")), F.lit("0"))
     spoken = F.concat(first, F.lit(f" {T.POINT} "), digits(kept))
     if style != "fractional":
         return spoken
     place = pick(T.PLACES, F.least(F.length(kept), F.lit(len(T.PLACES) - 1)))
-    return F.when(F.length(kept) < len(T.PLACES), F.concat(first, F.lit(AND), cardinal(whole(kept)), F.lit(" "), place)).otherwise(spoken)
+    return F.when(F.length(kept) < len(T.PLACES), F.concat(first, F.lit(AND), read(whole(kept)), F.lit(" "), place)).otherwise(spoken)
 
 
 def fraction(numerator: Column, denominator: Column) -> Column:

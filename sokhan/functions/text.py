@@ -95,6 +95,11 @@ def composed(text: Column) -> Column:
     return F.coalesce(nfc(F.when(F.regexp_like(text, F.lit(f"[^{COMPOSED}]")), text)), text)
 
 
+def is_composed(text: Column) -> Column:
+    """Whether composition changes nothing. text is a plain column."""
+    return composed(text) == text
+
+
 def presentation_forms(text: Column) -> Column:
     """Arabic presentation forms back to their letters; the map is derived, not listed."""
     single, several = {}, {}

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sokhan import tables as T
-from sokhan.functions.marks import mask
-from sokhan.functions.text import count_marks, strip_marks
+from sokhan.functions.marks import diacritic_report, mask
+from sokhan.functions.text import count_marks, has_marks, strip_marks
 from sokhan.operators.report import ranked
 
 Count = Callable[[Column], Column]
@@ -94,3 +94,31 @@ def roundtrip(tokenizer, probes: tuple[str, ...] = T.PROBES) -> dict:
 def sample(df: DataFrame, k: int, key: str, seed: int = 0) -> DataFrame:
     """k rows by a hash of a key; the same rows whatever the partitions."""
     return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(k)
+
+
+def measured(latent_length: int | None, seconds: float | None) -> float | None:
+    """Tokens a second of one clip; None where either is unknown."""
+    return latent_length / max(1e-9, seconds) if latent_length and seconds else None
+
+
+def audit(rows: DataFrame, k: int = 5000, seed: int = 0, per_second: float | None = None, max_batch_tokens: int = 8192, batch_size: int = 8, default_duration: float | None = None, count: Count = stand_in_tokens, marked_rows: int = 2000) -> dict:
+    """All checks over a sample of a manifest (text, duration): what tokens cost, marks, and which clips survive.
+
+    The cost curve takes the first marked rows by hash; rows that lack a duration get the
+    default one, or are left out of the clip checks and counted.
+    """
+    rows = rows if "duration" in rows.columns else rows.withColumn("duration", F.lit(None).cast("double"))
+    some = sample(rows.select("text", F.col("duration").cast("double").alias("duration")), k, "text", seed).persist()
+    out = {"n_rows": some.count(), "fertility": fertility(some, count=count).first().asDict(), "diacritic_stats": diacritic_report(some).first().asDict()}
+    marked = sample(some.filter(has_marks(F.col("text"))), marked_rows, "text", seed)
+    if not marked.isEmpty():
+        out["diacritic_cost_curve"] = [r.asDict() for r in cost_curve(marked, "text", count=count).orderBy("keep_rate").collect()]
+    if per_second is not None:
+        clips = some.withColumn("duration", F.coalesce(F.nullif("duration", F.lit(0.0)), F.lit(default_duration).cast("double")))
+        out["missing_duration"] = clips.filter("duration is null").count()
+        totals = clip_tokens(clips.filter("duration is not null"), "text", "duration", per_second, count)
+        out["survival"] = next((r.asDict() for r in survival_by(totals, ((max_batch_tokens, batch_size),)).collect()), None)
+        out["dropped_by_duration"] = {r["bucket"]: r["n"] for r in dropped_buckets(totals, max_batch_tokens // batch_size).collect()}
+        out["batching_grid"] = [r.asDict() for r in survival_by(totals, CANDIDATES).orderBy("max_batch_tokens", "batch_size").collect()]
+    some.unpersist()
+    return out

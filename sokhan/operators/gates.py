@@ -104,13 +104,17 @@ def result_gate(g: Gates, norm_text: Column, n_words: Column, duration: Column |
     return first_of(*gates)
 
 
-def with_gate(df: DataFrame, g: Gates, text_col: str, config=None, duration: str | None = None, fields: list[str] = (), error: str | None = None, missing_audio: str | None = None) -> DataFrame:
-    """df with norm and gate, in one pass. Rows that fail a source gate have no norm: they are not normalized."""
+def with_gate(df: DataFrame, g: Gates, text_col: str, config=None, duration: str | None = None, fields: dict[str, str] | None = None, error: str | None = None, missing_audio: str | None = None) -> DataFrame:
+    """df with norm and gate, in one pass. Rows that fail a source gate have no norm: they are not normalized.
+
+    ``fields`` says which column holds a bounded field, if it isn't named alike.
+    """
     from sokhan.normalizer import Config, normalized
 
     types = {f.name: f.dataType for f in df.schema.fields}
     d = as_duration(F.col(duration), types.get(duration)) if duration else None
-    values = {n: as_number(F.col(n), types.get(n)) for n in {*fields, *g.bounds}}
+    held = {n: (fields or {}).get(n, n) for n in g.bounds}
+    values = {n: as_number(F.col(f"`{c}`"), types.get(c)) for n, c in held.items()}
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     early = df.withColumn("gate", source_gate(g, text, values, F.col(error) if error else None, d))
     passed = "_passed"

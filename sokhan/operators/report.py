@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sokhan.normalizer import Config, selftest
+from sokhan.operators.gates import as_number
+
 QUANTILES = {"min": 0.0, "p10": 0.10, "p25": 0.25, "median": 0.50, "p75": 0.75, "p90": 0.90, "max": 1.0}
 #: Bins of distinct values in exact quantiles.
 BINS = 128
@@ -75,25 +80,34 @@ def density(df: DataFrame, col: str) -> DataFrame:
 
 def dropped_examples(df: DataFrame, order: list[str], text_col: str, k: int = 10, reasons: tuple[str, ...] = ("drop_text_pattern", "drop_empty_after_norm", "drop_too_long")) -> DataFrame:
     """The first dropped rows of some reasons, in a stated order."""
-    return df.filter(F.col("gate").isin(*reasons)).orderBy(*order).limit(k).select(*order, "gate", F.substring(text_col, 1, 160).alias("text"))
+    return df.filter(F.col("gate").isin(*reasons)).orderBy(*order).limit(k).select(*(c for c in order if c != text_col), "gate", F.substring(text_col, 1, 160).alias("text"))
 
 
-def corpus_report(df: DataFrame, speaker: str | None = None, duration: str | None = None, default_speaker: str = "unknown") -> dict:
-    """All statistics of gated rows (with norm and gate) as one nested document; each part is small."""
-    df = df.persist()
-    kept = df.filter("gate is null")
-    out: dict = {"stages": {r["stage"]: r["n"] for r in stage_counts(df).collect()}} | keep_rate(df).first().asDict()
-    out["unexpected_chars"] = {r["char"]: r["n"] for r in unexpected_top(df.filter("norm is not null"), F.col("norm.unexpected")).collect()}
-    each = df.filter("norm is not null").select(F.explode("norm.problems").alias("p"))
+def corpus_report(df: DataFrame, speaker: str | None = None, duration: str | None = None, default_speaker: str = "unknown", config: Config = Config(), fields: dict[str, str] | None = None, with_selftest: bool = False) -> dict:
+    """All statistics of gated rows (with norm and gate) as one nested document; each part is small.
+
+    Callers that read df more than once persist it. fields: columns by the name of what they hold, for their quantiles.
+    """
+    kept, judged = df.filter("gate is null"), df.filter("norm is not null")
+    out: dict = {"frontend_version": config.version, "config": {k: sorted(v) if isinstance(v, frozenset) else v for k, v in asdict(config).items()}}
+    out |= {"stages": {r["stage"]: r["n"] for r in stage_counts(df).collect()}} | keep_rate(df).first().asDict()
+    out["unexpected_chars"] = {r["char"]: r["n"] for r in unexpected_top(judged, F.col("norm.unexpected")).collect()}
+    each = judged.select(F.explode("norm.problems").alias("p"))
     out["diacritic_problems"] = {r["p"]: r["n"] for r in top(each, F.split_part("p", F.lit("@"), F.lit(1)), 100, "p").collect()}
     out["density"] = density(kept.select(F.col("norm.diacritic_density").alias("d")), "d").first().asDict()
-    out["latin_work_queue"] = [(r["t"], r["n"]) for r in top(df.filter("norm is not null").select(F.explode("norm.latin_unknown").alias("t")), F.col("t"), 60, "t").collect()]
+    out["latin_work_queue"] = [(r["t"], r["n"]) for r in top(judged.select(F.explode("norm.latin_unknown").alias("t")), F.col("t"), 60, "t").collect()]
     if speaker:
         who = F.coalesce(F.nullif(F.col(speaker), F.lit("")), F.lit(default_speaker))
         out["speakers"] = {"n_distinct": kept.select(who.alias("s")).distinct().count(), "top": [(r["s"], r["n"]) for r in top(kept, who, 20, "s").collect()], "gini_hint": top_share(kept, who).first()["share"]}
         if duration:
             out["speakers"]["top_hours"] = [(r["s"], r["n"]) for r in top(kept, who, 20, "s", F.col(duration) / 3600).collect()]
+    order = [c for c in ("audio", "text") if c in df.columns]
+    out["dropped_examples"] = [r.asDict() for r in dropped_examples(df, order, "text").collect()] if "text" in order else []
+    if fields:
+        out["field_stats"] = {n: field_stats(kept.select(as_number(F.col(f"`{c}`")).alias("v")), "v").first().asDict() for n, c in sorted(fields.items())}
     if duration:
-        out["audio_duration"] = field_stats(kept, duration).first().asDict()
-    df.unpersist()
+        hours = kept.agg((F.sum(duration) / 3600).alias("h")).first()["h"]
+        out["audio_duration"] = field_stats(kept, duration).first().asDict() | {"total_hours": hours}
+    if with_selftest:
+        out["selftest"] = selftest(judged.select(F.col("norm.raw").alias("text")), "text", config).first().asDict()
     return out

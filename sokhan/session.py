@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df computed once into the shared checkpoint folder, so that what follows neither computes nor plans it again.
+
+    The cluster names the folder in spark.checkpoint.dir; only on one machine a temporary one is taken where it is unset.
+    """
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(shared or "file://" + tempfile.mkdtemp(prefix="checkpoint-"))
+    return df.checkpoint()
+
+
 #: Input for each core below which rows are dealt anew: a file's splits follow its row groups, and a small file has few.
 SPREAD_BYTES = 64 << 20
 

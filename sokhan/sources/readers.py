@@ -24,19 +24,22 @@ def rooted(path: Column, root: str | None) -> Column:
     return path if not root else F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
 
 
-def shaped(df: DataFrame, audio: Column, text: Column, duration: Column, speaker: Column, extra: Column | None = None, error: Column | None = None) -> DataFrame:
+def shaped(df: DataFrame, audio: Column, text: Column, duration: Column, speaker: Column, extra: Column | None = None, error: Column | None = None, more: dict[str, Column] | None = None) -> DataFrame:
     none = F.lit(None)
-    return df.select(audio.alias("audio"), F.coalesce(text, F.lit("")).alias("text"), duration.cast("double").alias("duration"), speaker.alias("speaker"), (F.create_map().cast(EXTRA) if extra is None else extra).alias("_extra"), (none if error is None else error).cast("string").alias("_error"))
+    return df.select(audio.alias("audio"), F.coalesce(text, F.lit("")).alias("text"), duration.cast("double").alias("duration"), speaker.alias("speaker"), (F.create_map().cast(EXTRA) if extra is None else extra).alias("_extra"), (none if error is None else error).cast("string").alias("_error"), *(c.alias(n) for n, c in (more or {}).items()))
 
 
 def read_jsonl(spark: SparkSession, path: str, text_field: str = "text", audio_field: str = "audio", duration_field: str = "duration", speaker_field: str = "speaker", audio_root: str | None = None) -> DataFrame:
-    """JSON lines; blank lines are left out, bad ones become rows with an error; other keys go to _extra."""
+    """JSON lines; blank lines are left out, bad ones become rows with an error and the line in _extra; other keys go to _extra."""
     lines = spark.read.text(path).filter(strip(F.col("value")) != "")
     m = F.from_json("value", EXTRA, {"mode": "PERMISSIVE"})
-    df = lines.select("value", m.alias("m"), F.try_parse_json("value").isNotNull().alias("good"), F.col("_metadata.file_block_start").alias("at"))
+    df = lines.select("value", m.alias("m"), F.try_parse_json("value").isNotNull().alias("good"), F.col("_metadata.file_path").alias("file"))
     used = [text_field, audio_field, duration_field, speaker_field]
-    error = F.when(~F.col("good"), F.concat(F.lit("bad_json@"), F.substring(F.md5("value"), 1, 8)))
-    extra = F.coalesce(F.map_filter("m", lambda k, v: ~k.isin(*used)), F.create_map().cast(EXTRA))
+    error = F.when(~F.col("good"), F.lit("bad_json"))
+    rest = F.coalesce(F.map_filter("m", lambda k, v: ~k.isin(*used)), F.create_map().cast(EXTRA))
+    # One code for the counts; the file and the line itself tell which it was.
+    bad = F.create_map(F.lit("bad_file"), F.col("file"), F.lit("bad_line"), F.substring("value", 1, 160))
+    extra = F.when(F.col("good"), rest).otherwise(bad)
     at = lambda f: F.try_element_at("m", F.lit(f))
     return shaped(df, rooted(at(audio_field), audio_root), at(text_field), as_duration(at(duration_field)), at(speaker_field), extra, error)
 
@@ -97,8 +100,12 @@ def audio_path(schema: T.StructType, name: str) -> Column:
     return F.lit(None).cast("string") if isinstance(kind, T.BinaryType) else F.col(name).cast("string")
 
 
-def read_columnar(df: DataFrame, locator: Column, text_field: str = "text", audio_field: str = "audio", duration_field: str = "duration", speaker_field: str = "speaker", extra_fields: tuple[str, ...] = (), audio_root: str | None = None) -> DataFrame:
-    """Shape a Parquet or Arrow table; rows without an audio path get their locator."""
+def read_columnar(df: DataFrame, locator: Column, text_field: str = "text", audio_field: str = "audio", duration_field: str = "duration", speaker_field: str = "speaker", extra_fields: tuple[str, ...] = (), audio_root: str | None = None, carry: tuple[str, ...] = (), wav: bool = False) -> DataFrame:
+    """Shape a Parquet or Arrow table; rows without an audio path get their locator.
+
+    carry: columns to keep with their type, as _carry_<name>, the audio itself among them
+    as _audio; wav: durations that are missing are read from the audio's WAV header.
+    """
     text = dotted(df.schema, text_field)
     if text is None:
         raise ValueError(f"no column {text_field!r}; there are {', '.join(dotted_names(df.schema))}")
@@ -107,14 +114,42 @@ def read_columnar(df: DataFrame, locator: Column, text_field: str = "text", audi
     duration, speaker = (dotted(df.schema, f) for f in (duration_field, speaker_field))
     found = [(f, c) for f in extra_fields if (c := dotted(df.schema, f)) is not None]
     extra = F.create_map(*(x for f, c in found for x in (F.lit(f), c.cast("string")))) if found else None
-    return shaped(df, F.coalesce(rooted(audio, audio_root), locator), text.cast("string"), as_duration(null if duration is None else duration), null if speaker is None else speaker.cast("string"), extra)
+    seconds = as_duration(null if duration is None else duration)
+    blob = audio_bytes(df.schema, audio_field)
+    if wav and blob is not None:
+        seconds = F.coalesce(seconds, wav_duration(F.substring(blob, 1, 128)))
+    kept = {f"_carry_{c}": dotted(df.schema, c) for c in carry}
+    if missing := [c for c in carry if kept[f"_carry_{c}"] is None]:
+        raise ValueError(f"no column {missing[0]!r}; there are {', '.join(dotted_names(df.schema))}")
+    if carry and audio_field in df.columns:
+        kept["_audio"] = F.col(audio_field)
+    out = shaped(df, F.coalesce(rooted(audio, audio_root), locator), text.cast("string"), seconds, null if speaker is None else speaker.cast("string"), extra, more=kept)
+    return out
+
+
+def audio_bytes(schema: T.StructType, name: str) -> Column | None:
+    """The bytes within an audio column, if it has any."""
+    kind = schema[name].dataType if name in schema.fieldNames() else None
+    if isinstance(kind, T.StructType) and "bytes" in kind.fieldNames():
+        return F.col(name)["bytes"]
+    return F.col(name) if isinstance(kind, T.BinaryType) else None
 
 
-def read_parquet(spark: SparkSession, path: str, **kw) -> DataFrame:
-    df = spark.read.parquet(path)
+def read_parquet(spark: SparkSession, path: str, split: str | None = None, **kw) -> DataFrame:
+    df = parquet_of(spark, path, split)
     return read_columnar(df, F.concat(F.col("_metadata.file_path"), F.lit("#row="), F.col("_metadata.row_index")), **kw)
 
 
+def parquet_of(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    """Parquet files of a dataset; a split is a folder of it, or else a part of the files' names."""
+    if split is None:
+        return spark.read.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path, split)
+    if folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder):
+        return spark.read.parquet(folder.toString())
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{split}*").parquet(path)
+
+
 class ArrowFile(InputPartition):
     def __init__(self, path: str):
         self.path = path
@@ -164,10 +199,15 @@ class ArrowSource(DataSource):
         return ArrowReader(self.paths())
 
 
-def read_arrow(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """Arrow IPC files, one partition each."""
+def arrow_of(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
+    """Arrow IPC files, one partition each, with a _locator."""
     spark.dataSource.register(ArrowSource)
-    df = spark.read.format("arrow_ipc").load(",".join(fragments(path)))
+    return spark.read.format("arrow_ipc").load(",".join(fragments(path, split)))
+
+
+def read_arrow(spark: SparkSession, path: str, split: str | None = None, **kw) -> DataFrame:
+    """Arrow IPC files of a folder that driver and executors share."""
+    df = arrow_of(spark, path, split)
     return read_columnar(df, F.col("_locator"), **kw)
 
 
@@ -228,4 +268,48 @@ def describe(df: DataFrame, n: int = 3, width: int = 160) -> dict:
     return {"schema": df.schema.simpleString(), "rows": df.count(), "first": [r.asDict() for r in df.select(*shown).limit(n).collect()]}
 
 
+def columnar(path: str) -> str:
+    """The adapter for a columnar source, by its first file's name."""
+    return "arrow" if "://" not in path and fragments(path)[0].endswith(".arrow") else "parquet"
+
+
+def inspect(spark: SparkSession, path: str, adapter: str | None = None, split: str | None = None, n: int = 3) -> dict:
+    """Files, schema, row count and first rows of a source."""
+    adapter = adapter or columnar(path)
+    if adapter in ("arrow", "parquet"):
+        df = (arrow_of if adapter == "arrow" else parquet_of)(spark, path, split)
+    else:
+        df = READERS[adapter](spark, path)
+    files = fragments(path, split) if adapter == "arrow" else sorted(df.inputFiles())
+    return {"files": files} | describe(df.drop("_locator"), n)
+
+
+def with_missing_audio(df: DataFrame) -> DataFrame:
+    """df with _missing: whether the file that audio names isn't there; locators into a dataset's own files always are.
+
+    The folders that are named are listed by Spark's reader, on executors, and joined by path.
+    """
+    plain = F.regexp_replace("audio", "^file:/*(?=/)", "")
+    folders = [r[0] for r in df.filter(F.col("audio").isNotNull() & ~F.contains("audio", F.lit("#row="))).select(F.regexp_replace(plain, "/[^/]*$", "").alias("d")).distinct().collect()]
+    spark, there = df.sparkSession, None
+    for folder in folders:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder or "/")
+        if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at):
+            listed = spark.read.format("binaryFile").load(at.toString()).select(F.regexp_replace("path", "^file:/*(?=/)", "").alias("_there"))
+            there = listed if there is None else there.unionByName(listed)
+    if there is None:
+        return df.withColumn("_missing", F.col("audio").isNull() | ~F.contains("audio", F.lit("#row=")))
+    found = df.withColumn("_at", plain).join(there.distinct(), F.col("_at") == F.col("_there"), "left")
+    return found.withColumn("_missing", F.col("_there").isNull() & ~F.coalesce(F.contains("audio", F.lit("#row=")), F.lit(False))).drop("_at", "_there")
+
+
+def wav_length(data: bytes) -> float:
+    """Seconds of a whole WAV file, by decoding it."""
+    import io
+    import wave
+
+    with wave.open(io.BytesIO(data)) as w:
+        return w.getnframes() / w.getframerate()
+
+
 READERS = {"jsonl": read_jsonl, "csv": read_csv, "tsv": read_tsv, "commonvoice": read_commonvoice, "trans": read_trans, "arrow": read_arrow, "parquet": read_parquet}

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sokhan.functions import latin, marks, text
+from sokhan.functions import expand, latin, marks, text
 from sokhan.functions import numbers as N
 from sokhan.normalizer import Config, normalized, selftest
 
@@ -31,6 +31,37 @@ def test_numbers(spark):
     assert tuple(one) == ("صفر نه یک دو سه", "سه ممیز یک چهار", "سه و چهارده صدم", "نیم", "سه چهارم")
 
 
+def test_numbers_of_any_length(spark):
+    digits = "1" + "0" * 49
+    one = "یک" + " صفر" * 49
+    df = spark.createDataFrame([(digits,)], "t string").select(expand.integers(F.col("t")), expand.ranges(F.concat("t", F.lit("-2"))), expand.currency(F.concat(F.lit("$"), "t")), expand.ordinals(F.concat("t", F.lit("ام"))), expand.fractions(F.concat("t", F.lit("/2"))), expand.decimals(F.concat("t", F.lit(".5"))))
+    assert tuple(df.first()) == (one, f"{one} تا دو", f"{one} دلار", f"{one}م", digits + "/2", f"{one} ممیز پنج")
+    skip = Config(skip_expansions=frozenset({"phone"}))
+    assert normalized(spark.createDataFrame([("0" * 40 + "7",)], "text string"), config=skip).first()["norm"]["text"] == "هفت"
+
+
+def test_names_of_columns_do_not_clash(spark):
+    df = spark.createDataFrame([("كتاب ۵", 1, 2, 3)], "text string, _text int, _t int, gate string")
+    row = normalized(df).first()
+    assert row["norm"]["text"] == "کتاب پنج" and (row["_text"], row["_t"], row["gate"]) == (1, 2, "3")
+    assert normalized(df.limit(0)).count() == 0
+
+
+def test_composition_skips_only_what_it_leaves(spark):
+    """Texts of the characters that aren't sent to Python are composed, whatever stands together."""
+    import random
+    import re
+    import unicodedata
+
+    r, inside = random.Random(1), re.compile(f"[{text.COMPOSED}]")
+    chars = [chr(c) for c in range(0xFFFF) if inside.match(chr(c)) and not 0xD800 <= c < 0xE000]
+    assert all(unicodedata.normalize("NFC", c) == c and not unicodedata.combining(c) for c in chars)
+    assert all(unicodedata.is_normalized("NFC", "".join(r.choices(chars, k=400))) for _ in range(300))
+    rows = [("e\u0301 \u212B",), ("ئا" + "\u0627\u0653",), ("plain",), (None,)]
+    got = [x[0] for x in spark.createDataFrame(rows, "t string").select(text.composed(F.col("t"))).collect()]
+    assert got == [None if t is None else unicodedata.normalize("NFC", t) for (t,) in rows]
+
+
 def test_golden_texts(spark):
     df = spark.createDataFrame(GOLDEN, "x string, want string")
     assert [tuple(r) for r in normalized(df, "x").filter("norm.text <> want").select("x", "want", "norm.text").collect()] == []
