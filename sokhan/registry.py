@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sokhan import goldens
 from sokhan import tables as T
 from sokhan.functions import expand, latin, marks, text
 from sokhan.functions import numbers as N
@@ -149,10 +150,18 @@ def latin_work_queue(spark, d):
     return latin.work_queue(table(spark, d, "documents"), "text", 60)
 
 
-@query("SELECT c AS char, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '[^\\x00-\\x7F]')) AS c FROM documents) GROUP BY c")
+def sql_class(chars: str) -> str:
+    """The inside of a character class for DuckDB's patterns."""
+    return "".join(f"\\x{{{ord(c):X}}}" for c in sorted(set(chars)))
+
+
+_ALLOWED = "\\x{E000}-\\x{F8FF}0-9" + sql_class(T.LETTERS_FA + T.KEPT_PUNCTUATION + " " + T.ZWNJ + T.MARKS)
+
+
+@query(f"SELECT c AS char, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '(?s)[^{_ALLOWED}]')) AS c FROM documents) GROUP BY c")
 def unexpected_chars(spark, d):
-    """Characters outside ASCII by the number of documents that hold them, with the guard's own expressions."""
-    each = table(spark, d, "documents").select(F.explode(F.filter(text.unexpected(F.col("text")), lambda c: F.regexp_like(c, F.lit("[^\\x00-\\x7F]")))).alias("char"))
+    """Characters outside the guard's inventory by the number of documents that hold them."""
+    each = table(spark, d, "documents").select(F.explode(text.unexpected(F.col("text"))).alias("char"))
     return each.groupBy("char").agg(F.count("*").alias("n"))
 
 
@@ -284,6 +293,9 @@ def normalizer_selftest(spark, d):
     return selftest(table(spark, d, "orders").select(t.alias("text")))
 
 
+goldens.register(query)
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
