@@ -4,6 +4,8 @@ A line fails if it is
 * navigation: at most ten words, three or more separators (| » › > / •) between
   them, or all its words from ``NAVIGATION``;
 * boilerplate: holds a phrase of ``BOILERPLATE`` in lower case;
+* a menu: one of ``MENU`` or more lines in a row (blank ones apart) of at most four words
+  that end in no terminal punctuation; a heading alone isn't;
 * badly punctuated: at least a tenth of its non-blank characters, and at least
   four, are symbols ``[#*$%&|<>]``, or at least a quarter of its words, and at
   least four, end in two or more exclamation or question marks;
@@ -11,12 +13,14 @@ A line fails if it is
 * a repeat of an earlier line of the document with four words or more;
 * stuck: the same word five times in a row.
 
+The two lists are of English, Spanish, French and German; the other rules know no language.
 Blank lines stay. A document is rejected if its lines lose more than
 ``MAX_LOSS`` of its word characters, or nothing with a word is left. The base
 rule (``base_failed``) is part of the verdict as the contract states it.
 
 Null texts have no words: they fail. Repeated rows are judged alike; a text of
-one very long line is judged as that line.
+one very long line is judged as that line; an empty table gives no rows. Only the id and
+the text are read, so other columns can't clash; the result has none of them.
 """
 
 from __future__ import annotations
@@ -29,9 +33,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sokhan.llm.common import by_batch, id_and_text, table
 
-MAX_LOSS = 0.4
-NAVIGATION = frozenset("home about contact login logout register sign in up menu search next previous prev back top help faq sitemap privacy terms share print skip to content".split())
-BOILERPLATE = ("cookie policy", "accept cookies", "uses cookies", "all rights reserved", "terms of service", "terms of use", "privacy policy", "subscribe to our newsletter", "enable javascript", "click here", "lorem ipsum", "powered by")
+MAX_LOSS, MENU = 0.4, 4
+NAVIGATION = frozenset(
+    """home about contact login logout register sign in up menu search next previous prev back top help faq sitemap privacy terms share print skip to content
+    inicio contacto entrar salir registro registrarse buscar siguiente anterior volver arriba ayuda mapa del sitio privacidad compartir imprimir
+    accueil contactez connexion déconnexion inscription recherche rechercher suivant précédent retour haut aide plan du site confidentialité partager imprimer
+    startseite kontakt anmelden abmelden registrieren suche suchen weiter zurück nach oben hilfe impressum datenschutz teilen drucken""".split()
+)
+BOILERPLATE = (
+    "cookie policy", "accept cookies", "uses cookies", "all rights reserved", "terms of service", "terms of use", "privacy policy", "subscribe to our newsletter", "enable javascript", "click here", "lorem ipsum", "powered by",
+    "política de cookies", "aceptar cookies", "utiliza cookies", "todos los derechos reservados", "términos de uso", "condiciones de uso", "política de privacidad", "suscríbete a nuestro boletín", "haga clic aquí",
+    "politique de cookies", "accepter les cookies", "utilise des cookies", "tous droits réservés", "conditions d'utilisation", "mentions légales", "politique de confidentialité", "inscrivez-vous à notre newsletter", "cliquez ici",
+    "cookie-richtlinie", "cookies akzeptieren", "verwendet cookies", "alle rechte vorbehalten", "nutzungsbedingungen", "datenschutzerklärung", "abonnieren sie unseren newsletter", "klicken sie hier",
+)
+TERMINAL = frozenset(".!?…:;。！？\"'”’»)]")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 SEPARATORS = re.compile(r"[|»›>/•]")
@@ -45,7 +60,8 @@ def failing(line: str, words: list[str], seen: set[tuple[str, ...]]) -> str | No
     low = line.lower()
     if len(words) <= 10 and len(SEPARATORS.findall(line)) >= 3:
         return "navigation"
-    if len(words) <= 10 and all(w.strip(".,:|»›>-") in NAVIGATION for w in low.split()):
+    bare = [b for w in low.split() if (b := w.strip(".,:|»›>/•-"))] if len(words) <= 10 else []
+    if bare and all(w in NAVIGATION for w in bare):
         return "navigation"
     if any(p in low for p in BOILERPLATE):
         return "boilerplate"
@@ -75,6 +91,19 @@ def stuck(words: list[str]) -> bool:
     return False
 
 
+def in_menus(lines: list[tuple[str, list[str]]]) -> set[int]:
+    """Lines in runs of short ones without terminal punctuation."""
+    out, run = set(), []
+    for i, (_, words) in enumerate([*lines, (".", ["."])]):
+        if 0 < len(words) <= 4 and words[-1][-1] not in TERMINAL:
+            run.append(i)
+        elif words:
+            if len(run) >= MENU:
+                out.update(run)
+            run = []
+    return out
+
+
 def clean(text: str, max_loss: float = MAX_LOSS) -> dict:
     """The document's counts, its lines that pass, and the verdict."""
     # \x1c-\x1f and other Unicode blanks are no blanks here, so str.split() won't do.
@@ -86,17 +115,18 @@ def clean(text: str, max_loss: float = MAX_LOSS) -> dict:
     repeated = 0
     if repeats:
         end = 0
-        for i, w in enumerate(zip(words, words[1:], words[2:], strict=False)):
+        for at, w in enumerate(zip(words, words[1:], words[2:], strict=False)):
             if windows[w] > 1:
-                repeated += i + 3 - max(i, end)
-                end = i + 3
+                repeated += at + 3 - max(at, end)
+                end = at + 3
     kept, dropped, lost, left, exact, seen, duplicates = [], Counter(), 0, 0, set(), set(), 0
-    for line, ws in lines:
+    menus = in_menus(lines) if len(lines) >= MENU else ()
+    for i, (line, ws) in enumerate(lines):
         size = sum(map(len, ws))
         if ws:
             duplicates += line in exact
             exact.add(line)
-        rule = failing(line, ws, seen)
+        rule = failing(line, ws, seen) or ("menu" if i in menus else None)
         if ws:
             seen.add(tuple(ws))
         if rule:
