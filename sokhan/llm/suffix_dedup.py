@@ -12,7 +12,7 @@ window's key is the least hash among its ``GRAM``-byte strings; consecutive
 windows with one key form a run, some 35 windows long. Equal windows have equal
 keys, so
 
-1. each cell of documents (by hash of the id) sends each key once, with whether
+1. each cell of documents (by hash of id and text, so rows without an id spread) sends each key once, with whether
    it has it twice or with ``MANY`` different runs;
 2. keys seen twice are answered to their cells; all other runs hold no repeat;
 3. cells cut the remaining runs out, mark those equal to an earlier one of their
@@ -23,6 +23,10 @@ keys, so
 4. buckets sort the windows' suffixes and answer the repeated ones;
 5. cells cut the covered bytes out.
 
+Plain copies of a run are recognised as a whole by their bytes before the sort (in step 3
+and where a bucket gathers its runs), so that it orders one run of each; what repeats in
+part is found by the sort alone.
+
 Steps 1, 3 and 5 read one exchange of the texts; nothing depends on the machine
 that an earlier step ran on. A cell or bucket holds a bounded share of the input
 (two for each shuffle partition). Hashes only deal windows out; what is removed
@@ -160,10 +164,21 @@ def repeated_keys(cells: np.ndarray, keys: list[np.ndarray]) -> Iterator[tuple[i
         yield int(owner[a]), out[a:b]
 
 
+def radix_order(group: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    """The stable order by group, then by a digit of eight bytes, by counting passes over sixteen bits each."""
+    order = np.arange(len(digit))
+    passes = [(digit, shift) for shift in (0, 16, 32, 48)] + [(group, shift) for shift in range(0, max(1, int(group.max(initial=0)).bit_length()), 16)]
+    for values, shift in passes:
+        piece = (values[order] >> values.dtype.type(shift)).astype(np.uint16)
+        # numpy sorts sixteen bits by radix.
+        order = order[np.argsort(piece, kind="stable")]
+    return order
+
+
 def sorted_groups(data: bytes, at: np.ndarray, group: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     """Radix sort of the suffixes at some places, within groups: (index, group) of those with an equal.
 
-    A pass takes the next eight bytes of the suffixes still undecided; suffixes
+    Digits go from the most significant on. A pass takes the next eight bytes of the suffixes still undecided; suffixes
     alone in their group leave. The last digit may overlap the one before.
     """
     digits = np.ndarray(max(0, len(data) - 7), ">u8", data, 0, (1,))
@@ -172,7 +187,7 @@ def sorted_groups(data: bytes, at: np.ndarray, group: np.ndarray, window: int) -
         if not len(index):
             break
         digit = digits[at[index] + depth].astype(np.uint64)
-        order = np.lexsort((digit, group))
+        order = radix_order(group, digit)
         index, group, digit = index[order], group[order], digit[order]
         fresh = np.append(True, (group[1:] != group[:-1]) | (digit[1:] != digit[:-1]))
         number = np.cumsum(fresh) - 1
@@ -291,7 +306,7 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, many: int = MANY, id_col
     cells = buckets = 2 * partitions(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc_id = F.col(id_col).cast("long")
-    docs = df.select(F.pmod(F.xxhash64(doc_id), F.lit(cells)).cast("int").alias("cell"), F.xxhash64(doc_id, text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
+    docs = df.select(F.pmod(F.xxhash64(doc_id, text), F.lit(cells)).cast("int").alias("cell"), F.xxhash64(doc_id, text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
     by_cell = docs.groupBy("cell")
 
     def ordered(t: pa.Table) -> tuple[list[int], list[int], list[bytes], list[int | None]]:

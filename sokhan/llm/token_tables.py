@@ -22,6 +22,7 @@ empty text is the end id alone. Empty tables give no files and no rows.
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 import uuid
@@ -47,6 +48,11 @@ RESTART, BLOCK, FILE = 16, 64 << 10, 128 << 20
 KINDS = bytes(97 if chr(c).isalnum() and c < 128 or 128 <= c < 192 or c == 0xC3 else 46 if c in b".," else 32 if c in b" \n" else 120 if c < 128 else 63 for c in range(256))
 #: A token table's end-of-document id.
 END_ID = 1
+#: What a tokenizer does before its merges, if parts between blanks may be encoded alone.
+PARTED = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -217,9 +223,9 @@ class Table:
 class Encoder(dict):
     """Texts to ids with the tokenizers library; words between blanks are remembered.
 
-    Exact for tokenizers whose pre-tokenizer never joins text across white space
-    and that fold case (as word_bpe_49k.json): blanks part a text into words that
-    are encoded alone. Texts that may hold special tokens go to the library whole.
+    Blanks part a text into words that are encoded alone, for tokenizers that normalize and
+    pre-tokenize as ``PARTED`` says (as word_bpe_49k.json); all texts of others, and
+    texts that may hold special tokens, go to the library whole.
     The memory stops growing at ``limit`` words.
     """
 
@@ -231,6 +237,8 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit, self.new = Tokenizer.from_file(path), limit, {}
+        rules = json.loads(self.tokenizer.to_str())
+        self.parted = {k: rules[k] for k in PARTED} == PARTED and rules["model"].get("end_of_word_suffix") == "</w>"
         self.ends = np.zeros(max(self.tokenizer.get_vocab().values()) + 1, bool)
         self.ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
 
@@ -285,6 +293,9 @@ class Encoder(dict):
 
     def some_ids(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Each distinct part is looked up once; Arrow's kernels deal the ids out to its places."""
+        if not self.parted:
+            yield from (np.frombuffer(self.whole(t.decode("utf-8", "replace")), "<u4") for t in texts)
+            return
         parts = pc.split_pattern(pa.array([b"" if b"<|" in t else self.parts(t) for t in texts], pa.large_binary()).cast(pa.large_string()), " ")
         coded = parts.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
@@ -341,7 +352,8 @@ def write_token_tables(df: DataFrame, folder: str, tokenizer: str, end_id: int =
     spark = df.sparkSession
     prepare(spark)
     rows = id_and_text(df, id_col, text_col).repartitionByRange(partitions(spark), F.col("doc_id").asc_nulls_first())
-    return rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first()).mapInArrow(write, "path string, part long, n_docs long, n_tokens long")
+    # Rows with one id in a fixed order, so that a repeated task writes equal files.
+    return rows.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text").mapInArrow(write, "path string, part long, n_docs long, n_tokens long")
 
 
 def read_token_tables(spark: SparkSession, files: list[tuple[str, int]], with_ids: bool = True) -> DataFrame:

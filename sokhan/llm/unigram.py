@@ -1,9 +1,10 @@
 """SentencePiece encoding and decoding: Unigram Viterbi over a double-array trie.
 
-Pieces come from a public vocabulary file, whose path is a parameter. That file
-holds merge ranks, not probabilities; ``zipf_scores`` turns rank r into the log
-of a Zipf-Mandelbrot share, so nothing is trained. Callers with log scores of
-their own pass them to ``Vocabulary``.
+Pieces come from a public vocabulary file, whose path is a parameter. A Unigram model's own
+log scores are taken. A file of another kind holds merge ranks, not probabilities: for it
+``zipf_scores`` turns rank r into the log of a Zipf-Mandelbrot share (``scores="zipf"``,
+which may be asked for with any file), so nothing is trained. Callers with other scores pass
+them to ``Vocabulary``.
 
 Encoding: blanks become U+2581, one is put before a text that isn't empty, and
 the split into pieces with the highest sum of log scores is taken (of equal
@@ -14,7 +15,8 @@ blank. Decoding gives the text back, but for U+2581 in the text, which reads as
 a blank.
 
 Null and empty texts have no ids and decode to the empty text; repeated rows are
-encoded alike, other columns pass through, an empty table gives no rows.
+encoded alike, other columns pass through whatever their names (one named like a result is
+replaced), an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sokhan.llm.common import prepare, table
+from sokhan.llm.common import packed, prepare, table, unpacked
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -42,6 +45,42 @@ def zipf_scores(n: int) -> list[float]:
     return [math.log(w) - total for w in weights]
 
 
+def fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of a message's fields in the wire format of model files."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        out = shift = 0
+        while True:
+            byte = data[at]
+            at += 1
+            out |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return out
+
+    while at < len(data):
+        tag = number()
+        kind = tag & 7
+        if kind == 0:
+            yield tag >> 3, number()
+            continue
+        size = number() if kind == 2 else {1: 8, 5: 4}[kind]
+        yield tag >> 3, data[at : at + size]
+        at += size
+
+
+#: Places of the trainer's settings in a model file and of the model's type among them; a Unigram model's type, also where none is given.
+TRAINER, MODEL_TYPE, UNIGRAM = 2, 3, 1
+
+
+def is_unigram(model: bytes) -> bool:
+    """Whether a model file holds a Unigram model."""
+    trainer = b"".join(v for k, v in fields(model) if k == TRAINER)
+    return dict(fields(trainer)).get(MODEL_TYPE, UNIGRAM) == UNIGRAM
+
+
 class DoubleArray:
     """A trie in two arrays: from state s byte c leads to t = base[s] + c if check[t] == s."""
 
@@ -105,10 +144,14 @@ class Vocabulary:
     byte_ids: list[int]
 
     @classmethod
-    def load(cls, path: str) -> Vocabulary:
+    def load(cls, path: str, scores: str | None = None) -> Vocabulary:
+        """From a model file; scores are its own ("own") or by rank ("zipf"), without a choice its own if it is a Unigram model."""
         from sentencepiece import SentencePieceProcessor
 
+        if scores not in (None, "own", "zipf"):
+            raise ValueError("scores is own or zipf")
         p = SentencePieceProcessor(model_file=path)
+        own = scores == "own" or scores is None and is_unigram(p.serialized_model_proto())
         n = p.vocab_size()
         names = [p.id_to_piece(i) for i in range(n)]
         is_byte = [p.is_byte(i) for i in range(n)]
@@ -116,7 +159,7 @@ class Vocabulary:
         byte_ids = [p.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         pieces = [bytes([int(s[3:5], 16)]) if b else s.encode() if ok else b"" for s, b, ok in zip(names, is_byte, normal, strict=True)]
         ranks = iter(zipf_scores(sum(normal)))
-        return cls(pieces, [next(ranks) if ok else 0.0 for ok in normal], normal, byte_ids)
+        return cls(pieces, [(p.get_score(i) if own else next(ranks)) if ok else 0.0 for i, ok in enumerate(normal)], normal, byte_ids)
 
 
 class Unigram:
@@ -239,14 +282,14 @@ def decode(ids: Column, shared) -> Column:
     return run(ids)
 
 
-def encode_documents(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+def encode_documents(df: DataFrame, path: str, text_col: str = "text", scores: str | None = None) -> DataFrame:
     """All columns, then ids, n_byte_ids, ids_crc32 and decoded, the text read back from the ids.
 
     A column of df with one of these names is replaced.
     """
-    shared = share(df.sparkSession, Vocabulary.load(path))
-    out = df.withColumn("_encoded", encode(F.col(text_col).cast("string"), shared))
-    return out.withColumns({n: F.col(f"_encoded.{n}") for n in ("ids", "n_byte_ids", "ids_crc32", "decoded")}).drop("_encoded")
+    shared = share(df.sparkSession, Vocabulary.load(path, scores))
+    out = packed(df, encode(F.col(text_col).cast("string"), shared).alias("encoded"))
+    return unpacked(out, df.columns, **{n: F.col("encoded")[n] for n in ("ids", "n_byte_ids", "ids_crc32", "decoded")})
 
 
 def vocabulary_path(path: str | None = None) -> str:

@@ -299,6 +299,63 @@ def test_token_tables(spark, tmp_path):
     assert token_tables.token_tables(frame(spark, []), path).count() == 0
 
 
+def test_token_tables_of_other_tokenizers():
+    """A tokenizer whose words aren't parted by blanks is asked for whole texts."""
+    public = pytest.importorskip("public_tokenizers")
+    from tokenizers import Tokenizer
+
+    path = public.path("byte_bpe_50k.json")
+    t, texts = Tokenizer.from_file(path), ["Two  words, É!\n x", "", " <|endoftext|> 3.5..."]
+    assert [x.tolist() for x in token_tables.Encoder(path).ids([x.encode() for x in texts])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
+def test_unigram_scores_of_its_own(tmp_path):
+    """A Unigram model's scores are its own; the public file is made one by its type alone."""
+    _, path = tokenizer()
+    data = open(path, "rb").read()
+    assert not unigram.is_unigram(data)
+    trainer = next(v for k, v in unigram.fields(data) if k == unigram.TRAINER)
+    kind = bytes([unigram.MODEL_TYPE << 3, 2])
+    assert trainer.count(kind) == 1 and data.count(trainer) == 1
+    (tmp_path / "u.model").write_bytes(data.replace(trainer, trainer.replace(kind, bytes([unigram.MODEL_TYPE << 3, 1]))))
+    own, zipf = unigram.Vocabulary.load(str(tmp_path / "u.model")), unigram.Vocabulary.load(path)
+    from sentencepiece import SentencePieceProcessor
+
+    library = SentencePieceProcessor(model_file=str(tmp_path / "u.model"))
+    assert all(a == library.get_score(i) for i, (a, ok) in enumerate(zip(own.scores, own.normal, strict=True)) if ok)
+    assert own.pieces == zipf.pieces and own.scores != zipf.scores
+    assert unigram.Vocabulary.load(str(tmp_path / "u.model"), "zipf").scores == zipf.scores
+    model = unigram.Unigram(own)
+    score = lambda ids: sum(own.scores[i] if own.normal[i] else 0 for i in ids)
+    for t in ("hello there world", "The quick brown fox", "été à la plage"):
+        assert score(model.encode(t).tolist()) == pytest.approx(score(library.encode(t)))
+
+
+def test_radix_order():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for n, top in ((0, 1), (1, 1), (5000, 3), (100_000, 90_000)):
+        group, digit = rng.integers(0, top, n), rng.integers(0, 1 << 63, n, np.uint64) >> rng.integers(0, 63, n).astype(np.uint64)
+        assert (suffix_dedup.radix_order(group, digit) == np.lexsort((digit, group))).all()
+
+
+def test_columns_pass_whatever_their_names(spark):
+    """Names that operators use inside stay the caller's own; empty tables stay empty."""
+    _, path = tokenizer()
+    names = ["_encoded", "encoded", "row", "_k1", "part", "n", "first", "_key", "key", "_spans", "_id", "hash", "bad_id", "window", "at", "n_words"]
+    df = frame(spark, [*EDGES, (1, "a b c d e f")]).withColumns({c: F.lit(i) for i, c in enumerate(names)})
+    benchmark = spark.createDataFrame([(1, "one item of some more words")], "item_id long, text string")
+    runs = {
+        "unigram": lambda d: unigram.encode_documents(d, path), "shards": lambda d: histogram_shards.shard_documents(d, 2), "pii": personal_data.find_personal_data, "redact": personal_data.redact,
+        "near": near_copies.keep_one, "leaks": lambda d: decontamination.decontaminate(d, benchmark), "quality": lambda d: compression_quality.score(d, compression_quality.Model(b" " * 8, b" " * 8)),
+    }
+    for name, run in runs.items():
+        rows = run(df).collect()
+        assert rows and all(x[c] == i for x in rows for i, c in enumerate(names)), name
+        assert run(df.limit(0)).count() == 0, name
+
+
 def test_unigram(spark):
     _, path = tokenizer()
     v = unigram.Vocabulary.load(path)
