@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 return the columns of documents. ``run`` writes each stage's rows as Parquet into
 the shared folder and reads them again for the next, so a lost executor costs one
 stage at most.
+
+Null and empty texts are scored like a text about which compressed sizes say nothing;
+they are one near-duplicate class of texts without words, of which the smallest id
+stays; they hold no benchmark item and no personal data, and have no ids. Rows without an
+id are kept or dropped by the same rules; of repeated rows one stays. Very long texts
+are worked on whole. An empty table gives no rows. Columns beyond those of documents
+pass through all stages (the last replaces ids, n_byte_ids, ids_crc32 and round_trip).
 """
 
 from __future__ import annotations
