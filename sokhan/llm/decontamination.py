@@ -30,6 +30,7 @@ rows. Columns of documents pass through decontaminate, whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from itertools import pairwise
 
@@ -71,24 +72,40 @@ def words(text: Column) -> Column:
 
 def template(text: Column) -> Column:
     """As words(), with placeholders in place of numbers, names, units and words that open a sentence."""
+    marks = F.array(*map(F.lit, ("", NUMBER, UNIT, NAME, OPEN)))
+    return bound(marked(text), lambda ts: F.zip_with(ts, numbered(ts), lambda t, p: F.when(p > 0, F.get(marks, p.cast("int"))).otherwise(t)))
+
+
+def places(text: Column) -> Column:
+    """What each word of template() is: 0 for itself, 1 for a number, 2 for a unit, 3 for a name, 4 where it opens a sentence."""
+    return bound(marked(text), numbered)
+
+
+def bound(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """fn(value), bound to a name, since the rules that give value would run once for each use."""
+    return F.element_at(F.transform(F.array(value), fn), 1)
+
+
+def marked(text: Column) -> Column:
+    """Words with placeholders for digits, names and words that open a sentence."""
     t = F.translate(text, NUMBER + NAME + UNIT + OPEN, "    ")
+    # Patterns look at a character itself before those behind it, which is quicker.
     t = F.regexp_replace(t, r"[\s\p{Z}]{2,}|[\s\p{Z}&&[^ ]]", " ")
-    t = F.regexp_replace(t, r"(?<![\p{L}\p{N}])[0-9]++(?![\p{L}\p{N}])", NUMBER)
-    t = F.regexp_replace(t, r"(?<=[\p{Ll},] )\p{Lu}\p{L}*+(?![\p{N}])", NAME)
+    t = F.regexp_replace(t, r"[0-9](?<![\p{L}\p{N}][0-9])[0-9]*+(?![\p{L}\p{N}])", NUMBER)
+    t = F.regexp_replace(t, r"\p{Lu}(?<=[\p{Ll},] \p{Lu})\p{L}*+(?![\p{N}])", NAME)
     t = F.regexp_replace(t, r"((?:^|[.!?:…][\"'”’»)\]]{0,2}) ?[\"'“‘«(\[¿¡]{0,2})\p{Lu}\p{L}*+(?![\p{N}])", "$1" + OPEN)
-    return valued(parts(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}{OPEN}]+", " ")))
+    return parts(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{NUMBER}{NAME}{UNIT}{OPEN}]+", " "))
 
 
-def valued(t: Column) -> Column:
-    """Number words as numbers, and units after a number as units."""
+def numbered(t: Column) -> Column:
+    """The places of marked words: number words are numbers, and units after a number units."""
 
     def one(w: Column, before: Column) -> Column:
-        return F.when(w.isin(NUMBERS), NUMBER).when(w.isin(UNITS) & ((before == NUMBER) | before.isin(NUMBERS)), UNIT).otherwise(w)
+        word = F.when(w.isin(NUMBERS), 1).when(w.isin(UNITS) & ((before == NUMBER) | before.isin(NUMBERS)), 2).otherwise(0)
+        return F.when(F.length(w) > 1, word).when(w == NUMBER, 1).when(w == NAME, 3).when(w == OPEN, 4).otherwise(word).cast("long")
 
-    # Bound to a name, since the rules that give t would run once for each use.
-    shifted = lambda ws: F.concat(F.array(F.lit("")), F.slice(ws, F.lit(1), F.size(ws) - 1))
-    run = lambda ws: F.when(F.size(ws) > 0, F.zip_with(ws, shifted(ws), one)).otherwise(ws)
-    return F.element_at(F.transform(F.array(t), run), 1)
+    shifted = F.concat(F.array(F.lit("")), F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0))))
+    return F.when(F.size(t) > 0, F.zip_with(t, shifted, one)).otherwise(F.array().cast("array<bigint>"))
 
 
 def parts(text: Column) -> Column:
@@ -109,16 +126,22 @@ def form(kind: int, w: Column, t: Column) -> Column:
 
 
 def coded(df: DataFrame) -> DataFrame:
-    """Rows with words w and template t, and c0, c1 ...: a hash of each word in each form."""
+    """Rows with words w and their places p, and c0, c1 ...: a number for each word in each form.
+
+    It is the word's hash, or the placeholder's own number where the form has one. All forms are
+    made before windows are: code for it in each window would be too long to be compiled.
+    """
 
-    def code(kind: int) -> Column:
-        return F.zip_with("w", "t", lambda w, t: F.xxhash64(form(kind, w, t)))
+    def code(last: int) -> Column:
+        # A word that opens a sentence counts as a name in the last form.
+        return F.zip_with("c0", "p", lambda c, p: F.when((p == 0) | (p > last), c).otherwise(F.least(p, F.lit(3).cast("long"))))
 
-    return df.withColumns({f"c{k}": code(k) for k in KINDS})
+    df = df.withColumn("c0", F.transform("w", lambda w: F.xxhash64(w)))
+    return df.withColumns({f"c{k}": code(last) for k, last in ((COUNTED, 2), (NAMED, 3), (OPENED, 4))})
 
 
 def window_hash(kind: int, size: int) -> Column:
-    """Hash of the window of a size at ``at`` in one form, from its words' hashes; null beyond the end."""
+    """Hash of the window of a size at ``at`` in one form, from its words' numbers; null beyond the end."""
     return F.when(F.col("at") + size <= F.size("w"), F.xxhash64(*(at(f"c{kind}", i) for i in range(size))))
 
 
@@ -139,7 +162,7 @@ def literals(t: Column) -> Column:
 
 def items_of(benchmark: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), words(text).alias("w"), template(text).alias("t"))
+    return benchmark.select(F.col("item_id").cast("long").alias("item_id"), text.alias("text"), words(text).alias("w"), template(text).alias("t"), places(text).alias("p"))
 
 
 def too_short(benchmark: DataFrame) -> DataFrame:
@@ -153,7 +176,7 @@ def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
     items = items.withColumn("size", F.least(F.lit(window), F.size("t"))).withColumn("n_windows", F.size("t") - F.col("size") + 1).checkpoint()
     # A capitalised first word is a word in the item and a name in a document that puts it after another word.
     opens = items.filter(F.regexp_like(F.trim("text"), F.lit(r"^\p{Lu}\p{L}*+(?![\p{N}])")))
-    opens = opens.withColumns({"w": F.slice("w", F.lit(1), F.col("size")), "t": F.concat(F.array(F.lit(NAME)), F.slice("t", F.lit(2), F.col("size") - 1))})
+    opens = opens.withColumns({"w": F.slice("w", F.lit(1), F.col("size")), "t": F.concat(F.array(F.lit(NAME)), F.slice("t", F.lit(2), F.col("size") - 1)), "p": F.concat(F.array(F.lit(3).cast("long")), F.slice("p", F.lit(2), F.col("size") - 1))})
     items = coded(items.withColumn("head", F.lit(False)).unionByName(opens.withColumn("head", F.lit(True))))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most the window's size
 
@@ -174,7 +197,7 @@ def hashes(size: int) -> Column:
 
 
 def meetings(rows: DataFrame, items: DataFrame, sizes: list[int], bounded: bool) -> DataFrame:
-    """Each window of rows (doc_id, text_hash, w, t) that an item has in the same form."""
+    """Each window of rows (doc_id, text_hash, w, p) that an item has in the same form."""
 
     def hashed(carried: list[str]) -> DataFrame:
         each = windows(coded(rows), sizes[0]).withColumns({f"h{s}_{k}": window_hash(k, s) for s in sizes for k in KINDS})
@@ -205,7 +228,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage:
         return spark.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows int, n_matched int, coverage double, n_slots int, same_values boolean")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), template(F.col("text")).alias("t"))
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"), places(F.col("text")).alias("p"))
     met = meetings(rows, items, sizes, items.count() <= BROADCAST_WINDOWS)
     slots = F.filter(F.arrays_zip(F.col("item_template").alias("type"), F.col("item_words").alias("item"), F.col("doc_words").alias("doc")), lambda x: x["type"].isin(NUMBER, NAME, UNIT))
     no_name = F.exists(slots, lambda x: (x["type"] == NAME) & (x["item"] != x["doc"]) & (x["item"].isin(OPENERS) | x["doc"].isin(OPENERS)))

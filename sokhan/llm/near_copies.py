@@ -50,11 +50,13 @@ from sokhan.llm.simhash import BKTree, components, fingerprint, shingle_hashes,
 
 ROWS, BANDS, RADIUS = 4, 12, 20
 #: Nodes of a shard's tree, nodes and shingles of a group's tree.
-SHARD_NODES, TREE_NODES, TREE_SHINGLES = 4096, 128, 1_000_000
+SHARD_NODES, TREE_NODES, TREE_SHINGLES = 512, 128, 1_000_000
 #: Times that a large group is dealt to trees, and how much wider the trees are that its last queries meet.
 ROUNDS, WIDER = 3, 6
 #: Parts of a group where its rows meet its size.
 SALTS = 16
+#: Rows of groups of several up to which their keys, some 100 bytes each, are broadcast to the texts.
+BROADCAST_ROWS = 300_000
 #: Odd factors and masks that mix a shingle's hash, the same in every process.
 _MIX = np.random.Generator(np.random.PCG64(42)).integers(0, 1 << 63, (2, ROWS * BANDS), np.uint64)
 _FACTOR, _MASK = _MIX[0] << np.uint64(1) | np.uint64(1), _MIX[1] << np.uint64(1)
@@ -226,11 +228,12 @@ def verified_links(thin: DataFrame, attach: Callable[[DataFrame], DataFrame], ra
         return F.pmod(F.xxhash64("node", F.lit(seed)), n).cast("int")
 
     alone = {"tree": F.lit(0), "piece": F.lit(0), "query": F.lit(False)}
-    small = linked(attach(thin.filter(trees(TREE_NODES) == 1)).withColumns(alone))
-    large = thin.filter(trees(TREE_NODES) > 1)
-    if large.isEmpty():
-        return small
-    sets = possible(attach(large).drop("n", "w").checkpoint(), similarity)
+    sets = attach(thin)
+    if thin.filter(trees(TREE_NODES) > 1).isEmpty():
+        return linked(sets.withColumns(alone))
+    sets = sets.checkpoint()
+    small = linked(sets.filter(trees(TREE_NODES) == 1).withColumns(alone))
+    sets = possible(sets.filter(trees(TREE_NODES) > 1).drop("n", "w"), similarity)
     sets = sized(sets, ["group"], "node", "n_shingles").checkpoint()
     dealt = [linked(sets.withColumns(alone | {"tree": tree(k, trees(TREE_NODES))})) for k in range(ROUNDS)]
     made = reduce(DataFrame.unionByName, [small, *dealt]).checkpoint()
@@ -286,7 +289,8 @@ def classes(df: DataFrame, shingle: int, similarity: float, radius: int, seed: i
 
     def attach(rows: DataFrame) -> DataFrame:
         # Only texts of groups of several are read again; equal rows stand for the same node.
-        met = thin.select(key(F.col("doc_id"), F.col("text_hash")), "text").join(rows, "_key").dropDuplicates(["_key"])
+        right = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+        met = thin.select(key(F.col("doc_id"), F.col("text_hash")), "text").join(right, "_key").dropDuplicates(["_key"])
         return by_batch(met.select(*names, "text"), run, ", ".join(f"{c} {t}" for c, t in names.items()) + ", shingles binary", out)
 
     linked = components(verified_links(wanted, attach, radius, similarity))

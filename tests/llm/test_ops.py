@@ -660,3 +660,28 @@ def test_pipeline_on_tables(spark):
     texts = [x["text"] for x in spark.read.parquet(f"{TABLES}/benchmark.parquet").collect()]
     assert not any(t in x["text"] for x in rows for t in texts)
     assert len({hashlib.sha256(x["text"].encode()).hexdigest() for x in rows}) == len(rows)
+
+
+def test_pipeline_edges(spark, tmp_path):
+    """Nulls, empty, long and repeated rows, other columns, and an empty table."""
+    import corpus_pipeline as p
+
+    r = random.Random(14)
+    prose = "the of and a river house walked through morning light with her small brown dog along old stone wall".split()
+    good = [(i, " ".join(r.choice(prose) for _ in range(90))) for i in range(60)]
+    bad = [(100 + i, "buy $$$ now!!! " * 30 + str(r.random())) for i in range(60)]
+    asked = "how many stone walls did the old brown dog walk through in the morning light"
+    docs = [*good, *bad, *EDGES, (200, good[0][1]), (201, f"{good[1][1]} {asked} {good[2][1]}"), (202, f"{good[3][1]} mail me: a@b.co {good[4][1]}")]
+    wide = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"lang": F.lit("en"), "source": F.lit("s"), "n_chars": F.length("text").cast("long"), "_id": F.lit(5)})
+
+    def run(sf, rows):
+        rows.write.parquet(f"{sf}/documents.parquet")
+        spark.createDataFrame([(i, 1 if i < 100 else 0) for i, _ in good + bad], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
+        spark.createDataFrame([(1, asked), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+        return p.run(spark, sf).collect()
+
+    rows = {x["doc_id"]: x for x in run(str(tmp_path / "a"), wide)}
+    assert set(range(60)) <= set(rows) and not {100 + i for i in range(60)} & set(rows) and not {200, 201} & set(rows)
+    assert "<EMAIL>" in rows[202]["text"] and rows[202]["n_chars"] == len(rows[202]["text"]) and all(x["round_trip"] and x["_id"] == 5 for x in rows.values())
+    assert len({901, 902} & set(rows)) == 0  # texts without words are one class, named by 900 if their score stays
+    assert run(str(tmp_path / "b"), wide.limit(0)) == []
