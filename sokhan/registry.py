@@ -147,7 +147,7 @@ _KEY = "regexp_replace(lower(t), '^[.''-]+|[.''-]+$', '', 'g')"
 
 @query(f"SELECT token, count(*) AS n FROM (SELECT CASE WHEN regexp_full_match(t, '[A-Z]{{2,6}}') THEN t ELSE {_KEY} END AS token FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z][A-Za-z0-9''.-]*')) AS t FROM documents) WHERE {_KEY} NOT IN ({', '.join(repr(k) for k in T.LATIN_WORDS)}) AND NOT regexp_full_match({_KEY}, '[a-z]')) GROUP BY token ORDER BY n DESC, token LIMIT 60")
 def latin_work_queue(spark, d):
-    return latin.work_queue(table(spark, d, "documents"), "text", 60)
+    return latin.work_queue(spread(table(spark, d, "documents").select("text")), "text", 60)
 
 
 def sql_class(chars: str) -> str:
@@ -161,7 +161,7 @@ _ALLOWED = "\\x{E000}-\\x{F8FF}0-9" + sql_class(T.LETTERS_FA + T.KEPT_PUNCTUATIO
 @query(f"SELECT c AS char, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest(regexp_extract_all(text, '(?s)[^{_ALLOWED}]')) AS c FROM documents) GROUP BY c")
 def unexpected_chars(spark, d):
     """Characters outside the guard's inventory by the number of documents that hold them."""
-    each = table(spark, d, "documents").select(F.explode(text.unexpected(F.col("text"))).alias("char"))
+    each = spread(table(spark, d, "documents").select("text")).select(F.explode(text.unexpected(F.col("text"))).alias("char"))
     return each.groupBy("char").agg(F.count("*").alias("n"))
 
 
