@@ -12,14 +12,16 @@ window's key is the least hash among its ``GRAM``-byte strings; consecutive
 windows with one key form a run, some 35 windows long. Equal windows have equal
 keys, so
 
-1. each cell of documents (by hash of id and text, so rows without an id spread) sends each key once, with whether
-   it has it twice or with ``MANY`` different runs;
+1. each cell of documents (by hash of the text, so that copies meet; of id and text where a text's copies are too many
+   for a cell) sends each key once, with whether it has it twice, and about how many different runs it has with it if they
+   are ``MANY`` or more;
 2. keys seen twice are answered to their cells; all other runs hold no repeat;
 3. cells cut the remaining runs out, mark those equal to an earlier one of their
-   own, and send one of each to its key's bucket. Runs of a key with many
-   different runs (the rims of a passage that stands in a large share of all
-   documents) are dealt window by window by their own hash instead, so a common
-   passage doesn't pile up in one bucket;
+   own, and send one of each to its key's bucket. Runs of a key whose different
+   runs in all cells come to a ``SHARE``-th of the keys a bucket gets (the rims of a
+   passage that stands in a large share of all documents) are dealt window by window
+   by their own hash instead, so a common passage doesn't pile up in one bucket. A
+   window for itself takes some twenty times its share of a run, so no others are;
 4. buckets sort the windows' suffixes and answer the repeated ones;
 5. cells cut the covered bytes out.
 
@@ -29,8 +31,8 @@ part is found by the sort alone.
 
 Steps 1, 3 and 5 read one exchange of the texts; nothing depends on the machine
 that an earlier step ran on. A cell or bucket holds a bounded share of the input
-(two for each shuffle partition). Hashes only deal windows out; what is removed
-is decided on bytes.
+(two for each shuffle partition). What cells and buckets send is compressed, numbers
+column by column. Hashes only deal windows out; what is removed is decided on bytes.
 
 Null texts are empty. Of rows with equal ids none is earlier than the other at
 the same start; null ids come before all others. Rows equal in id and text get
@@ -43,14 +45,35 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sokhan.llm.common import partitions, prepare, table, utf8
 
-WINDOW, GRAM, MANY, CHUNK = 100, 32, 8, 1 << 20
+WINDOW, GRAM, MANY, SHARE, CHUNK = 100, 32, 8, 16, 1 << 20
+#: What a row counts for beside its bytes.
+ROW = 64
+#: A key on its way is 43 bits of its hash, four bits for the number of different runs, and whether it is there twice.
+CUT, FLAGS = np.uint64(21), np.uint64(5)
 ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63)]
 SHIFT = np.uint64(31)
+ZSTD, UNZSTD = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+
+
+def squeezed(numbers: np.ndarray, differences: int = 1) -> bytes:
+    """Rows of 64-bit numbers compressed: by column, the first ones as differences, and by byte of a number."""
+    columns = np.array(numbers.T, np.int64, order="C")
+    columns[:differences, 1:] = np.diff(columns[:differences])
+    return ZSTD.compress(columns.view(np.uint8).reshape(*columns.shape, 8).transpose(0, 2, 1).tobytes())
+
+
+def unsqueezed(blob: bytes, width: int, differences: int = 1) -> np.ndarray:
+    """The rows of squeezed()."""
+    planes = np.frombuffer(UNZSTD.decompress(blob), np.uint8).reshape(width, 8, -1)
+    columns = np.array(planes.transpose(0, 2, 1), order="C").view(np.int64)[:, :, 0]
+    columns[:differences] = np.cumsum(columns[:differences], axis=1)
+    return columns.T
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -128,12 +151,12 @@ def _runs(held: list[tuple[int, int, bytes]], window: int) -> tuple[np.ndarray,
 
 
 def cell_keys(texts: list[bytes], window: int, many: int = MANY) -> np.ndarray:
-    """The cell's distinct keys; bit 0: it has the key twice, bit 1: with many different runs."""
+    """The cell's distinct keys; bit 0: it has the key twice, bits 1 to 4: the power of two of its different runs over many, from 1; 0 if there are fewer."""
     found = [r[3:] for r in runs(texts, window)]
     if not found:
         return np.zeros(0, np.uint64)
     key, content, again = (np.concatenate(x) for x in zip(*found, strict=True))
-    key = key >> np.uint64(2)
+    key = key >> CUT
     order = np.lexsort((content, key))
     key, content, again = key[order], content[order], again[order]
     first = np.append(True, key[1:] != key[:-1])
@@ -141,21 +164,24 @@ def cell_keys(texts: list[bytes], window: int, many: int = MANY) -> np.ndarray:
     at = np.flatnonzero(first)
     count, kinds = np.diff(np.append(at, len(key))), np.add.reduceat(differs.astype(np.int64), at)
     twice = (count > 1) | np.logical_or.reduceat(again, at)
-    return key[at] << np.uint64(2) | twice.astype(np.uint64) | (kinds >= many).astype(np.uint64) << np.uint64(1)
+    power = np.minimum(np.frexp(kinds // many)[1], 15)
+    return key[at] << FLAGS | power.astype(np.uint64) << np.uint64(1) | twice.astype(np.uint64)
 
 
-def repeated_keys(cells: np.ndarray, keys: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
-    """For each cell, those of its keys that occur twice anywhere; bit 1 says many."""
+def repeated_keys(cells: np.ndarray, keys: list[np.ndarray], many: int = MANY) -> Iterator[tuple[int, np.ndarray]]:
+    """For each cell, those of its keys that occur twice anywhere; bit 1 says that the runs are to be dealt window by window."""
     owner = np.repeat(cells, [len(k) for k in keys])
     flat = np.concatenate(keys)
-    order = np.argsort(flat >> np.uint64(2), kind="stable")
+    order = np.argsort(flat >> FLAGS, kind="stable")
     flat, owner = flat[order], owner[order]
-    ident = flat >> np.uint64(2)
+    ident = flat >> FLAGS
     at = np.flatnonzero(np.append(True, ident[1:] != ident[:-1]))
     sizes = np.diff(np.append(at, len(flat)))
-    flags = np.bitwise_or.reduceat(flat & np.uint64(3), at)
-    twice = np.repeat((sizes > 1) | (flags & np.uint64(1) > 0), sizes)
-    out = (ident << np.uint64(2) | np.repeat(flags & np.uint64(2), sizes))[twice]
+    power = (flat >> np.uint64(1) & np.uint64(15)).astype(np.int64)
+    kinds = np.add.reduceat(np.where(power > 0, many << np.maximum(power - 1, 0), 0), at)
+    split = kinds >= max(many, len(flat) // SHARE)
+    twice = np.repeat((sizes > 1) | (np.bitwise_or.reduceat(flat, at) & np.uint64(1) > 0), sizes)
+    out = (ident << FLAGS | np.repeat(split, sizes).astype(np.uint64) << np.uint64(1))[twice]
     owner = owner[twice]
     order = np.argsort(owner, kind="stable")
     out, owner = out[order], owner[order]
@@ -196,8 +222,12 @@ def sorted_groups(data: bytes, at: np.ndarray, group: np.ndarray, window: int) -
     return index, group
 
 
+def unpacked_bytes(blob: bytes) -> bytes:
+    return UNZSTD.decompress(blob)
+
+
 class Runs:
-    """Cut runs on their way to a bucket: numbers (row, id, start, windows, key, again) and bytes."""
+    """Cut runs on their way to a bucket: numbers (row in the cell, id, start, windows, key, again) and bytes."""
 
     def __init__(self):
         self.head, self.body = [], []
@@ -207,10 +237,17 @@ class Runs:
         self.body.append(data)
 
     def packed(self) -> tuple[bytes, bytes]:
-        return np.array(self.head, np.int64).tobytes(), b"".join(self.body)
+        return squeezed(np.array(self.head, np.int64), 2), ZSTD.compress(b"".join(self.body))
+
+
+def joined(marks: list[tuple[int, int, int]]) -> np.ndarray:
+    """Ascending marks (row, start, windows), those that go on where another ends as one."""
+    out = np.array(marks, np.int64).reshape(-1, 3)
+    fresh = np.flatnonzero(np.append(True, (out[1:, 0] != out[:-1, 0]) | (out[1:, 1] != out[:-1, 1] + out[:-1, 2])))
+    return np.column_stack((out[fresh, :2], np.add.reduceat(out[:, 2], fresh)))
 
 
-def cell_runs(rows: list[int], ids: list[int], texts: list[bytes], known: np.ndarray, buckets: int, window: int) -> tuple[dict[int, Runs], list[tuple[int, int, int]]]:
+def cell_runs(ids: list[int], texts: list[bytes], known: np.ndarray, buckets: int, window: int) -> tuple[dict[int, Runs], list[tuple[int, int, int]]]:
     """The cell's runs whose key is known, by bucket, one of each content; and marks for the others.
 
     Documents must ascend by id. ``known`` are sorted answers of repeated_keys.
@@ -218,18 +255,18 @@ def cell_runs(rows: list[int], ids: list[int], texts: list[bytes], known: np.nda
     out: dict[int, Runs] = {}
     marks: list[tuple[int, int, int]] = []
     first: dict[bytes, tuple[int, int]] = {}
-    ident = known >> np.uint64(2)
+    ident = known >> FLAGS
 
     def take(k: int, start: int, n: int, key: int, again: bool, data: bytes) -> None:
         seen = first.setdefault(data, (ids[k], start))
         if seen < (ids[k], start):
-            marks.append((rows[k], start, n))
+            marks.append((k, start, n))
         else:
-            out.setdefault(key % buckets, Runs()).add(rows[k], ids[k], start, n, key & (1 << 63) - 1, again, data)
+            out.setdefault(key % buckets, Runs()).add(k, ids[k], start, n, key >> 32, again, data)
 
     for document, start, n, key, _, again in runs(texts, window):
-        at = np.minimum(np.searchsorted(ident, key >> np.uint64(2)), len(ident) - 1)
-        hit = np.flatnonzero(ident[at] == key >> np.uint64(2))
+        at = np.minimum(np.searchsorted(ident, key >> CUT), len(ident) - 1)
+        hit = np.flatnonzero(ident[at] == key >> CUT)
         many = (known[at[hit]] & np.uint64(2) > 0).tolist()
         for k, s, c, x, twice, split in zip(*(v[hit].tolist() for v in (document, start, n, key, again)), many, strict=True):
             text = texts[k]
@@ -244,9 +281,9 @@ def cell_runs(rows: list[int], ids: list[int], texts: list[bytes], known: np.nda
     return out, marks
 
 
-def bucket_marks(heads: list[bytes], bodies: list[bytes], window: int) -> np.ndarray:
+def bucket_marks(heads: list[np.ndarray], bodies: list[bytes], window: int) -> np.ndarray:
     """(row, start, windows) of every repeated window among a bucket's runs that isn't the earliest."""
-    head = np.concatenate([np.frombuffer(h, np.int64).reshape(-1, 6) for h in heads])
+    head = np.concatenate(heads)
     data = b"".join(bodies)
     size = head[:, 3] + window - 1
     begin = np.cumsum(size) - size
@@ -297,6 +334,18 @@ def covered(marks: np.ndarray, window: int) -> list[tuple[int, int]]:
     return out
 
 
+def dealt(docs: DataFrame, cells: int) -> DataFrame:
+    """cell, doc_id, text: equal texts in one cell, which sends one of their runs; but texts that would fill half a cell are dealt by id too."""
+    by_text = docs.select(F.xxhash64("text").alias("hash"), "doc_id", "text")
+    size = F.octet_length("text").cast("long") + ROW
+    sizes = by_text.groupBy("hash").agg(F.sum(size).alias("size"))
+    total = sizes.agg(F.sum("size").alias("total"))
+    large = sizes.crossJoin(F.broadcast(total)).filter(F.col("size") * (2 * cells) > F.col("total")).select("hash", F.lit(True).alias("large"))
+    # At most twice as many hashes as there are cells.
+    spread = F.when(F.col("large"), F.xxhash64("hash", "doc_id")).otherwise(F.col("hash"))
+    return by_text.join(F.broadcast(large), "hash", "left").select(F.pmod(spread, F.lit(cells)).cast("int").alias("cell"), "doc_id", "text")
+
+
 def remove_repeats(df: DataFrame, window: int = WINDOW, many: int = MANY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, kept (the remaining bytes) and spans (removed, in bytes) of every row."""
     if window < GRAM + 8:
@@ -306,42 +355,41 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, many: int = MANY, id_col
     cells = buckets = 2 * partitions(spark)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc_id = F.col(id_col).cast("long")
-    docs = df.select(F.pmod(F.xxhash64(doc_id, text), F.lit(cells)).cast("int").alias("cell"), F.xxhash64(doc_id, text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
+    docs = dealt(df.select(doc_id.alias("doc_id"), text.alias("text")), cells)
     by_cell = docs.groupBy("cell")
 
-    def ordered(t: pa.Table) -> tuple[list[int], list[int], list[bytes], list[int | None]]:
-        ids = t.column("doc_id").to_pylist()
-        rows = t.column("row").to_pylist()
+    def ordered(t: pa.Table) -> tuple[list[int], list[bytes], list[int | None]]:
+        # Steps 3 and 5 number a cell's rows alike, since rows equal in id and text have equal results.
+        ids, texts = t.column("doc_id").to_pylist(), utf8(t.column("text").combine_chunks())
         low = [-(1 << 63) if i is None else i for i in ids]
-        order = sorted(range(len(ids)), key=lambda i: (low[i], rows[i]))
-        texts = utf8(t.column("text").combine_chunks())
-        return [rows[i] for i in order], [low[i] for i in order], [texts[i] for i in order], [ids[i] for i in order]
+        order = sorted(range(len(ids)), key=lambda i: (low[i], ids[i] is not None, texts[i]))
+        return [low[i] for i in order], [texts[i] for i in order], [ids[i] for i in order]
 
     def ask(t: pa.Table) -> pa.Table:
         keys = cell_keys(utf8(t.column("text").combine_chunks()), window, many)
-        to = (keys >> np.uint64(2)) % np.uint64(buckets)
+        to = (keys >> FLAGS) % np.uint64(buckets)
         order = np.argsort(to, kind="stable")
         keys, to = keys[order], to[order]
         at = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
-        blobs = [keys[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(to))[: len(at)], strict=True)]
+        blobs = [squeezed(keys[a:b, None]) for a, b in zip(at, np.append(at[1:], len(to))[: len(at)], strict=True)]
         cell = t.column("cell")[0].as_py()
         return pa.table({"bucket": pa.array(to[at].astype(np.int32)), "cell": pa.array([cell] * len(at), pa.int32()), "keys": pa.array(blobs, pa.binary())})
 
     def answer(t: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(k, np.uint64) for k in t.column("keys").to_pylist()]
-        found = list(repeated_keys(t.column("cell").to_numpy(), keys))
-        return pa.table({"cell": pa.array([c for c, _ in found], pa.int32()), "keys": pa.array([k.tobytes() for _, k in found], pa.binary())})
+        keys = [unsqueezed(k, 1)[:, 0].astype(np.uint64) for k in t.column("keys").to_pylist()]
+        found = list(repeated_keys(t.column("cell").to_numpy(), keys, many))
+        return pa.table({"cell": pa.array([c for c, _ in found], pa.int32()), "keys": pa.array([squeezed(k[:, None]) for _, k in found], pa.binary())})
 
     def cut(t: pa.Table, answers: pa.Table) -> pa.Table:
         out, marks, cell = {}, [], -1
-        if t.num_rows and sum(map(len, answers.column("keys").to_pylist())):
+        if t.num_rows and answers.num_rows:
             cell = t.column("cell")[0].as_py()
-            rows, low, texts, _ = ordered(t)
-            known = np.sort(np.concatenate([np.frombuffer(k, np.uint64) for k in answers.column("keys").to_pylist()]))
-            out, marks = cell_runs(rows, low, texts, known, buckets, window)
+            low, texts, _ = ordered(t)
+            known = np.sort(np.concatenate([unsqueezed(k, 1)[:, 0] for k in answers.column("keys").to_pylist()]).astype(np.uint64))
+            out, marks = cell_runs(low, texts, known, buckets, window)
         made = [(b, cell, *r.packed()) for b, r in out.items()]
         # Marks pass through the bucket of the cell's own number; they have no body.
-        made += [(cell, cell, np.array(marks, np.int64).tobytes(), None)] if marks else []
+        made += [(cell, cell, squeezed(joined(sorted(marks))), None)] if marks else []
         # A run's cell travels with each of its rows, since answers go back to it.
         return pa.table({n: pa.array([m[i] for m in made], t) for i, (n, t) in enumerate((("bucket", pa.int32()), ("cell", pa.int32()), ("head", pa.binary()), ("body", pa.binary())))})
 
@@ -350,24 +398,26 @@ def remove_repeats(df: DataFrame, window: int = WINDOW, many: int = MANY, id_col
         made = [(c, h) for c, h, b in zip(cell, head, body, strict=True) if b is None]
         sent = [i for i, b in enumerate(body) if b is not None]
         if sent:
-            home = {}
-            for i in sent:
-                for row in np.frombuffer(head[i], np.int64).reshape(-1, 6)[:, 0].tolist():
-                    home[row] = cell[i]
-            marks = bucket_marks([head[i] for i in sent], [body[i] for i in sent], window)
-            to = np.array([home[r] for r in marks[:, 0].tolist()], np.int64)
-            made += [(int(c), marks[to == c].tobytes()) for c in np.unique(to)]
+            heads = [unsqueezed(head[i], 6, 2) for i in sent]
+            for h, i in zip(heads, sent, strict=True):
+                h[:, 0] |= cell[i] << 32
+            marks = bucket_marks(heads, [unpacked_bytes(body[i]) for i in sent], window)
+            marks = marks[np.lexsort((marks[:, 1], marks[:, 0]))]
+            to, marks[:, 0] = marks[:, 0] >> 32, marks[:, 0] & 0xFFFFFFFF
+            at = np.flatnonzero(np.append(True, to[1:] != to[:-1])) if len(to) else np.zeros(0, np.int64)
+            made += [(int(to[a]), squeezed(marks[a:b])) for a, b in zip(at, np.append(at[1:], len(to))[: len(at)], strict=True)]
         return pa.table({"cell": pa.array([m[0] for m in made], pa.int32()), "marks": pa.array([m[1] for m in made], pa.binary())})
 
     def finish(t: pa.Table, found: pa.Table) -> pa.Table:
         types = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))])
         if not t.num_rows:
             return types.empty_table()
-        marks = np.concatenate([np.frombuffer(m, np.int64).reshape(-1, 3) for m in found.column("marks").to_pylist()] or [np.zeros((0, 3), np.int64)])
+        marks = np.concatenate([unsqueezed(m, 3) for m in found.column("marks").to_pylist()] or [np.zeros((0, 3), np.int64)])
         marks = marks[np.argsort(marks[:, 0], kind="stable")]
         ids, kept, spans = [], [], []
-        for row, doc_id, text in zip(t.column("row").to_pylist(), t.column("doc_id").to_pylist(), utf8(t.column("text").combine_chunks()), strict=True):
-            a, b = np.searchsorted(marks[:, 0], [row, row + 1]) if row < (1 << 63) - 1 else (np.searchsorted(marks[:, 0], row), len(marks))
+        _, texts, names = ordered(t)
+        at = np.searchsorted(marks[:, 0], np.arange(len(texts) + 1)).tolist()
+        for doc_id, text, a, b in zip(names, texts, at[:-1], at[1:], strict=True):
             cutouts = covered(marks[a:b, 1:], window)
             edges = [0, *(x for s in cutouts for x in s), len(text)]
             ids.append(doc_id)

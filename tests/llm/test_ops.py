@@ -45,6 +45,48 @@ def test_suffix_dedup(spark):
     assert suffix_dedup.remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_suffix_dedup_moves_little_for_copies_and_rims(spark):
+    """Copies with other ids add their own bytes and little else to what is shuffled; the rims of common passages aren't dealt by windows."""
+
+    def written():
+        sc = spark.sparkContext._jsc.sc()
+        sc.listenerBus().waitUntilEmpty(30_000)
+        return sc.statusStore().executorList(True).apply(0).totalShuffleWrite()
+
+    def moved(docs):
+        before = written()
+        suffix_dedup.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).write.format("noop").mode("overwrite").save()
+        return (written() - before) / sum(len(t) for _, t in docs)
+
+    r = random.Random(6)
+    word = lambda n: "".join(r.choice("abcdefghijklmnop") for _ in range(n))
+    texts = [word(4000) for _ in range(300)]
+    assert moved([(c * 1000 + i, t) for c in range(5) for i, t in enumerate(texts)]) < 2
+    common = [word(400) for _ in range(40)]
+    assert moved([(i, word(300) + common[i % 40] + word(300)) for i in range(2000)]) < 2
+
+
+def test_suffix_dedup_cells(spark):
+    """Copies share a cell, but for texts that would fill one."""
+    docs = spark.createDataFrame([(c * 1000 + i, f"text {i} " * 20) for c in range(5) for i in range(100)] + [(9000 + i, "copy " * 40) for i in range(400)], "doc_id long, text string")
+    cells = suffix_dedup.dealt(docs, 20).groupBy("text").agg(F.countDistinct("cell").alias("cells"), F.count("*").alias("n")).collect()
+    assert {x["n"]: x["cells"] for x in cells if x["n"] == 400}[400] == 20
+    assert all(x["cells"] == 1 for x in cells if x["n"] == 5) and len(cells) == 101
+
+
+def test_suffix_dedup_split_keys():
+    import numpy as np
+
+    keys = np.arange(1, 2001, dtype=np.uint64) << suffix_dedup.FLAGS
+    some, lots = keys.copy(), keys.copy()
+    some[7] |= np.uint64(1 << 1)  # some eight different runs, in one cell
+    lots[9] |= np.uint64(7 << 1)  # some 512
+    found = dict(suffix_dedup.repeated_keys(np.array([3, 5]), [some, lots]))
+    assert [np.flatnonzero(found[c] & np.uint64(2)).tolist() for c in (3, 5)] == [[9], [9]] and len(found[3]) == 2000
+    for rows in (np.zeros((0, 3), np.int64), np.array([[-(1 << 63), 5, 1], [3, -7, 2], [(1 << 63) - 1, 0, 9]])):
+        assert (suffix_dedup.unsqueezed(suffix_dedup.squeezed(rows, 2), 3, 2) == rows).all()
+
+
 def test_simhash(spark):
     r = random.Random(1)
     base = [[r.choice("alpha beta gamma delta eps zeta eta theta iota".split()) for _ in range(60)] for _ in range(20)]
