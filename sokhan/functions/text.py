@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -71,6 +73,11 @@ def guarded(text: Column, pattern: str, fn: Callable[[Column], Column]) -> Colum
     return let(text, lambda t: F.when(F.regexp_like(t, F.lit(pattern)), fn(t)).otherwise(t))
 
 
+def holding(text: Column, parts: list[str], fn: Callable[[Column], Column]) -> Column:
+    """fn(text) where one of the parts occurs, without which fn changes nothing; looking for plain text is much cheaper than for a pattern."""
+    return let(text, lambda t: F.when(reduce(or_, (F.contains(t, F.lit(p)) for p in parts)), fn(t)).otherwise(t))
+
+
 def strip(text: Column) -> Column:
     """Without blanks at either end."""
     return F.regexp_replace(text, f"^{S}+|{S}+$", "")
@@ -92,7 +99,8 @@ COMPOSED = "\\u0000-\\u02FF\\u060C\\u061B\\u061F\\u0621-\\u064A\\u0660-\\u066F\\
 
 def composed(text: Column) -> Column:
     """Canonical composition; only texts that it could change are sent to Python. text is a plain column."""
-    return F.coalesce(nfc(F.when(F.regexp_like(text, F.lit(f"[^{COMPOSED}]")), text)), text)
+    # The lookahead passes over the commonest characters before the whole class is tried.
+    return F.coalesce(nfc(F.when(F.regexp_like(text, F.lit(f"(?![\\u0000-\\u02FF\\u0621-\\u064A])[^{COMPOSED}]")), text)), text)
 
 
 def is_composed(text: Column) -> Column:
@@ -140,7 +148,7 @@ def strip_marks(text: Column) -> Column:
 
 
 def has_marks(text: Column) -> Column:
-    return F.regexp_like(text, F.lit(f"[{T.MARKS}]"))
+    return F.regexp_like(text, F.lit(f"[{ranges(T.MARKS)}]"))
 
 
 def count_marks(text: Column) -> Column:
@@ -171,49 +179,54 @@ def mark_order_signature(text: Column) -> Column:
 
 def punctuation(text: Column, brackets_to_commas: bool = True) -> Column:
     """Quotes in pairs, Persian marks, runs collapsed, brackets as commas."""
-    text = F.regexp_replace(text, '"([^"\\n]{1,300})"', "«$1»")
+    text = holding(text, ['"'], lambda t: F.regexp_replace(t, '"([^"\\n]{1,300})"', "«$1»"))
     text = F.translate(text, "".join(T.PUNCTUATION) + T.BULLETS, "".join(T.PUNCTUATION.values()))
-    text = chain(text, (r"\.{3,}", "…"), ("…{2,}", "…"), ("!{2,}", "!"), ("([!؟])\\1*", "$1"))
+    text = holding(text, ["...", "……"], lambda t: chain(t, (r"\.{3,}", "…"), ("…{2,}", "…")))
+    text = holding(text, ["!!", "؟؟"], lambda t: F.regexp_replace(t, "([!؟])\\1+", "$1"))
     if brackets_to_commas:
-        text = chain(text, (rf"{S}*[(\[{{]{S}*", "، "), (rf"{S}*[)\]}}]{S}*", "، "))
-    return chain(text, (f"{S}*«{S}*", " «"), (f"{S}*»{S}*", "» "))
+        text = holding(text, list("([{)]}"), lambda t: chain(t, (rf"{S}*[(\[{{]{S}*", "، "), (rf"{S}*[)\]}}]{S}*", "، ")))
+    return holding(text, ["«", "»"], lambda t: chain(t, (f"{S}*«{S}*", " «"), (f"{S}*»{S}*", "» ")))
 
 
 def fix_spacing(text: Column) -> Column:
     """One blank between words, none beside joiners, closing marks close up and are followed by one."""
     closing = "".join(c for c in T.KEPT_PUNCTUATION if c not in "«-'")
     fa = "[\\u0600-\\u06FF]"
-    text = chain(
-        text, (f"{S}+", " "), (f"{S}+{Z}", Z), (f"{Z}{S}+", Z), (f"{Z}{{2,}}", Z), (f"{Z}(?!{fa})", ""), (f"(?<!{fa}){Z}", ""),
-        (f"{S}+([{quoted(closing)}])", "$1"), (f"([.!:،؛؟])(?=[^{T.BLANK}])", "$1 "),
-    )
-    return strip(text)
+    # From the first rule on every blank is a single space, and no later rule brings two together.
+    text = holding(F.translate(text, T.BLANKS, " " * len(T.BLANKS)), ["  "], lambda t: F.regexp_replace(t, " {2,}", " "))
+
+    def joiners(t: Column) -> Column:
+        t = F.replace(F.replace(t, F.lit(f" {Z}"), F.lit(Z)), F.lit(f"{Z} "), F.lit(Z))
+        return chain(t, (f"{Z}{{2,}}", Z), (f"{Z}(?!{fa})", ""), (f"{Z}(?<!{fa}{Z})", ""))
+
+    text = holding(text, [Z], joiners)
+    return F.trim(chain(text, (f" ([{quoted(closing)}])", "$1"), (f"[.!:،؛؟](?=[^{T.BLANK}])", "$0 ")))
 
 
 def cleanup(text: Column) -> Column:
     """What expansion leaves behind: free dashes become pauses, of two marks in a row the stronger or last stays."""
     end, pause, dash = ".!؟…", "،؛", "[-–—]"
-    return chain(
-        text, (f"{S}*{dash}{S}+", "، "), (f"{S}+{dash}{S}*", "، "), (f"([{pause}])[{T.BLANK}{pause}]*([{pause}])", "$2"),
-        (f"[{pause}]{S}*(?=[{end}])", ""), (f"([{end}]){S}*[{pause}]", "$1"), (f"([{end}])[{T.BLANK}{end}]*([{end}])", "$2"), (f"^[{pause}{end}{T.BLANK}]+", ""),
-    )
+    text = holding(text, list("-–—"), lambda t: chain(t, (f"{S}*{dash}{S}+", "، "), (f"{S}+{dash}{S}*", "، ")))
+    pauses = (f"([{pause}])[{T.BLANK}{pause}]*([{pause}])", "$2"), (f"[{pause}]{S}*(?=[{end}])", ""), (f"([{end}]){S}*[{pause}]", "$1")
+    text = holding(text, list(pause), lambda t: chain(t, *pauses))
+    return F.ltrim(F.regexp_replace(text, f"[{end}][{T.BLANK}{end}]*([{end}])", "$1"), F.lit(pause + end + T.BLANKS))
 
 
 def repair_joiners(text: Column) -> Column:
     """Verb prefixes and suffixes written apart are joined, but a suffix doesn't take a suffix."""
     fa, longest = "[\\u0600-\\u06FF]", "|".join(T.SUFFIXES)
-    text = F.regexp_replace(text, f"{B0}(ن?می) ({fa}{{2,}})", f"$1{Z}$2")
+    text = holding(text, ["می "], lambda t: F.regexp_replace(t, f"{B0}(ن?می) ({fa}{{2,}})", f"$1{Z}$2"))
 
     def join(m: Column) -> Column:
         # The match holds the joiner before its stem, if there is one.
         return F.when(F.regexp_like(m, F.lit(f"^{Z}(?:{longest}) ")), m).otherwise(F.regexp_replace(m, " ", Z))
 
-    return substitute(text, f"{Z}?{fa}{{2,}} (?:{longest}){B1}", join)
+    return holding(text, sorted({f" {s[:2]}" for s in T.SUFFIXES}), lambda t: substitute(t, f"{Z}?{fa}{{2,}}+ (?:{longest}){B1}", join))
 
 
 def separate_scripts(text: Column) -> Column:
     """A blank where Latin letters or digits touch Persian letters."""
-    return guarded(text, f"[{ranges(T.LETTERS_FA)}]", _separated)
+    return guarded(text, "[A-Za-z0-9]", lambda t: guarded(t, f"[{ranges(T.LETTERS_FA)}]", _separated))
 
 
 def _separated(text: Column) -> Column:
@@ -222,12 +235,19 @@ def _separated(text: Column) -> Column:
 
 def foreign_class(keep_marks: bool = True) -> str:
     """Pattern of a character outside the inventory; digits and escapes' placeholders are let through."""
-    return f"[^{PRIVATE}0-9{ranges(T.LETTERS_FA + T.KEPT_PUNCTUATION + ' ' + Z + (T.MARKS if keep_marks else ''))}]"
+    return f"[^{PRIVATE}0-9{ranges(inventory(keep_marks))}]"
+
+
+def inventory(keep_marks: bool = True) -> str:
+    """The characters of normalized texts."""
+    return T.LETTERS_FA + T.KEPT_PUNCTUATION + " " + Z + (T.MARKS if keep_marks else "")
 
 
 def unexpected(text: Column, keep_marks: bool = True) -> Column:
     """The distinct characters outside the inventory, sorted."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(foreign_class(keep_marks)), F.lit(0))))
+    # Without the inventory little is left to search.
+    rest = F.translate(text, inventory(keep_marks) + "0123456789", "")
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(rest, F.lit(foreign_class(keep_marks)), F.lit(0))))
 
 
 def problems(text: Column) -> Column:

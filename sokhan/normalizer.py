@@ -115,7 +115,7 @@ def normalized(df: DataFrame, text_col: str = "text", config: Config = Config(),
     put(odd=text.unexpected(t, config.keep_harakat))
     if config.strip_unknown:
         # Only texts with a foreign character are tidied a second time.
-        put(clean=F.when(F.size(get("odd")) > 0, F.regexp_replace(t, text.foreign_class(config.keep_harakat), " ")))
+        put(clean=F.when(F.size(get("odd")) > 0, F.call_function("translate", t, F.array_join(get("odd"), ""), F.repeat(F.lit(" "), F.size(get("odd"))))))
         put(text=F.coalesce(text.fix_spacing(text.cleanup(get("clean"))), t))
     step(restore, held)
     none = F.array().cast("array<string>")
@@ -141,7 +141,7 @@ def not_idempotent(df: DataFrame, text_col: str = "text", config: Config = Confi
 
 def selftest(df: DataFrame, text_col: str = "text", config: Config = Config()) -> DataFrame:
     """One row of counts: texts, empty, not idempotent, with unexpected characters, with problems."""
-    once = normalized(df, text_col, config, out="first").select("first")
+    once = normalized(df, text_col, config, out="first").select(F.struct("first.text", "first.unexpected", "first.problems").alias("first"))
     twice, said = normalized(once, "first.text", config), F.col("first.text")
     empty = text.strip(said) == ""
     return twice.agg(

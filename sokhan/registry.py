@@ -290,7 +290,7 @@ def normalize_gated(spark, d):
 def normalizer_selftest(spark, d):
     # Persian text around the tables' numbers and dates; documents are normalized above.
     t = F.concat(F.lit("قیمت "), F.col("o_totalprice").cast("string"), F.lit(" $ در "), F.date_format("o_orderdate", "yyyy/MM/dd"), F.lit(" بود، كتاب ها -5 درجه!!"))
-    return selftest(table(spark, d, "orders").select(t.alias("text")))
+    return selftest(spread(table(spark, d, "orders").select(t.alias("text"))))
 
 
 goldens.register(query)

@@ -7,7 +7,8 @@ from __future__ import annotations
 
 ZWNJ = "‌"
 #: Blanks as Unicode defines them, with the four information separators.
-BLANK = "\\u0009-\\u000D\\u001C-\\u0020\\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+BLANK = "\\p{IsWhite_Space}\\x1C-\\x1F"
+BLANKS = "".join(c for c in map(chr, range(0x10000)) if c.isspace())
 
 # Characters.
 REMOVED = "‍​‎‏‪‫‬‭‮﻿­ـ"

@@ -1,8 +1,13 @@
 """Golden texts and invariants of the normalizer and its parts."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from sokhan import registry
+from sokhan import tables as T
 from sokhan.functions import expand, latin, marks, text
 from sokhan.functions import numbers as N
 from sokhan.normalizer import Config, normalized, selftest
@@ -102,3 +107,34 @@ def test_version():
 def test_strategy_is_checked():
     with pytest.raises(ValueError):
         latin.resolve(None, "none")
+
+
+def test_selftest_query_uses_all_cores(spark):
+    """A table in one file of one row group isn't normalized by a single task."""
+    plan = registry.queries()["normalizer_selftest"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert f"Repartition {2 * spark.sparkContext.defaultParallelism}, true" in plan
+
+
+def test_spacing_by_plain_rules(spark):
+    """Shortcuts for texts that a rule can't change give what the rules alone give."""
+    r, z, fa, end, pause = random.Random(9), T.ZWNJ, "[؀-ۿ]", ".!؟…", "،؛"
+    closing = re.escape("".join(c for c in T.KEPT_PUNCTUATION if c not in "«-'"))
+    spacing = [(r"\s+", " "), (rf"\s+{z}", z), (rf"{z}\s+", z), (f"{z}{{2,}}", z), (f"{z}(?!{fa})", ""), (f"(?<!{fa}){z}", ""), (rf"\s+([{closing}])", r"\1"), (r"([.!:،؛؟])(?=\S)", r"\1 "), (r"^\s+|\s+$", "")]
+    cleanup = [
+        (r"\s*[-–—]\s+", "، "), (r"\s+[-–—]\s*", "، "), (rf"([{pause}])[\s{pause}]*([{pause}])", r"\2"), (rf"[{pause}]\s*(?=[{end}])", ""), (rf"([{end}])\s*[{pause}]", r"\1"),
+        (rf"([{end}])[\s{end}]*([{end}])", r"\2"), (rf"^[{pause}{end}\s]+", ""),
+    ]
+
+    def plain(rules, t):
+        for pattern, to in rules:
+            t = re.sub(pattern, to, t)
+        return t
+
+    bits = ["ک", "تا", "a", " ", "  ", "\t", " ", "\x1c", z, z, "-", "—", *pause, *end, ":", "«", "»", "'", "3"]
+    rows = [("".join(r.choices(bits, k=r.randint(0, 14))),) for _ in range(4000)]
+    got = spark.createDataFrame(rows, "t string").select("t", text.fix_spacing(F.col("t")).alias("s"), text.cleanup(F.col("t")).alias("c")).collect()
+    assert [x["t"] for x in got if (x["s"], x["c"]) != (plain(spacing, x["t"]), plain(cleanup, x["t"]))] == []
+
+
+def test_blanks():
+    assert T.BLANKS == "".join(chr(c) for c in range(0x10000) if re.match(r"\s", chr(c)))
